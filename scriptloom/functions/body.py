@@ -21,11 +21,13 @@ _PAREN_TOKEN = rf"({lexis.STRING}|{lexis.BACKTICK}|{_COMMENT}|[()]|[^()'\"`/-]++
 BLOCK_WORDS = ("CASE", "IF", "WHILE", "LOOP", "FOR", "REPEAT")
 
 # IF( and REPEAT( are function calls and FOR SYSTEM_TIME is a table clause: none opens a block.
+_ANY_BLOCK_WORD = rf"(?i:BEGIN|END|{'|'.join(BLOCK_WORDS)}){lexis.WORD_END}"
+_NOT_A_BLOCK = rf"(?i:IF|REPEAT)\(|(?i:FOR\s++SYSTEM_TIME){lexis.WORD_END}"
 _BLOCK_TOKEN = (
     rf"({lexis.STRING}|{lexis.BACKTICK}|{_COMMENT}"
     rf"|(?i:END(?:\s++(?:{'|'.join(BLOCK_WORDS)}))?+){lexis.WORD_END}"
-    rf"|(?i:IF|REPEAT)\(|(?i:FOR\s++SYSTEM_TIME){lexis.WORD_END}|{lexis.WORD}"
-    rf"|[^\p{{L}}_@'\"`/-]++|[\s\S])"
+    rf"|(?:{_NOT_A_BLOCK}|(?!{_ANY_BLOCK_WORD}){lexis.WORD}|[^\p{{L}}_@'\"`/-])++"
+    rf"|{lexis.WORD}|[\s\S])"
 )
 
 

@@ -57,8 +57,8 @@ CREATE_NAME = (
 )
 
 _TOKEN = (
-    rf"({lexis.SINGLE_CLOSED}|`[^`]*+`|{lexis.HEADER_COMMENT}|[()<>\[\],;]|\s++"
-    rf"|[^'\"`()<>\[\],;\s/-]++|[\s\S])"
+    rf"({lexis.SINGLE_CLOSED}|`[^`]*+`|{lexis.HEADER_COMMENT}|[()<>\[\],;]"
+    rf"|[^'\"`()<>\[\],;/-]++|[\s\S])"
 )
 
 # Clauses as the outline shows them.
@@ -155,40 +155,63 @@ def outline(clauses: Column) -> Column:
         F.lit(False).alias("done"),
         F.array().cast(ITEMS_TYPE).alias("items"),
     )
+    fields = ("depth", "grp", "outline", "lead", "open", "item", "done", "items")
 
     def step(acc: Column, token: Column) -> Column:
         depth = acc["depth"]
-        gap = token.rlike(r"\A(?:\s|--|/\*)")
-        text = F.when(gap, " ").otherwise(token)
+        text = F.when(token.startswith("--") | token.startswith("/*"), " ").otherwise(token)
         opens = token.isin("(", "<", "[")
         closes = token.isin(")", ">", "]")
-        at_top = depth == 0
-        ends_item = (depth == 1) & ((token == ",") | (closes & (F.trim(acc["item"]) != "")))
         item = F.struct(
             acc["grp"].alias("grp"),
             acc["lead"].alias("lead"),
             acc["open"].alias("open"),
             F.trim(acc["item"]).alias("text"),
         )
-        moved = F.struct(
-            F.when(opens, depth + 1).when(closes, depth - 1).otherwise(depth).alias("depth"),
-            F.when(at_top & opens, acc["grp"] + 1).otherwise(acc["grp"]).alias("grp"),
-            F.when(at_top | (closes & (depth == 1)), F.concat(acc["outline"], text))
-            .otherwise(acc["outline"])
-            .alias("outline"),
-            F.when(at_top & token.rlike(r"\A[\p{L}_@`]"), F.upper(token))
-            .otherwise(acc["lead"])
-            .alias("lead"),
-            F.when(at_top & opens, token).otherwise(acc["open"]).alias("open"),
-            F.when(at_top | ((depth == 1) & ((token == ",") | closes)), "")
-            .otherwise(F.concat(acc["item"], text))
-            .alias("item"),
-            (at_top & (token == ";")).alias("done"),
-            F.when(ends_item, F.concat(acc["items"], F.array(item)))
-            .otherwise(acc["items"])
-            .alias("items"),
+        with_item = F.concat(acc["items"], F.array(item))
+        lead = F.upper(F.regexp_extract(token, rf"({lexis.WORD})\s*+\z", 1))
+
+        def put(**changes: Column | int | str | bool) -> Column:
+            return F.struct(
+                *[
+                    (F.lit(v) if not isinstance(v, Column) else v).alias(f)
+                    for f, v in ((f, changes.get(f, acc[f])) for f in fields)
+                ]
+            )
+
+        shown = F.concat(acc["outline"], text)
+        return (
+            F.when(acc["done"], acc)
+            .when(
+                depth == 0,
+                F.when(
+                    opens,
+                    put(depth=1, grp=acc["grp"] + 1, outline=shown, open=token, item=""),
+                )
+                .when(closes, put(depth=-1, outline=shown, done=True))
+                .otherwise(
+                    put(
+                        outline=shown,
+                        lead=F.when(lead != "", lead).otherwise(acc["lead"]),
+                        done=token == ";",
+                    )
+                ),
+            )
+            .when(opens, put(depth=depth + 1, item=F.concat(acc["item"], text)))
+            .when(
+                closes,
+                F.when(
+                    depth == 1,
+                    put(
+                        depth=0,
+                        outline=shown,
+                        items=F.when(F.trim(acc["item"]) != "", with_item).otherwise(acc["items"]),
+                    ),
+                ).otherwise(put(depth=depth - 1, item=F.concat(acc["item"], text))),
+            )
+            .when((depth == 1) & (token == ","), put(item="", items=with_item))
+            .otherwise(put(item=F.concat(acc["item"], text)))
         )
-        return F.when(acc["done"], acc).otherwise(moved)
 
     return F.aggregate(
         tokens,

@@ -40,10 +40,11 @@ METADATA_SCHEMA = "INFORMATION_SCHEMA"
 NOTHING, RELATION, TABLE, CALL = 0, 1, 2, 3
 # Alias progress after a relation: no alias pending, name just read, AS read, alias read.
 SETTLED, NAMED, AS_READ, ALIASED = 0, 1, 2, 3
-# Token classes.
-(GAP, QUOTE, COMMA, LOOSE_COMMA, OPEN, CLOSE, SEMICOLON, SIGN, NAME, NAME_CALL, NAME_DOT, JOINED,
- JOINED_CALL, JOINED_DOT, SINGLE_DOT, SINGLE_QUOTED, W_EXTRACT, W_FROM, W_JOIN, W_TABLE, W_CALL,
- W_CLOSING, W_PASSING, W_AS, W_OTHER) = range(25)
+# Token classes. The quiet ones change nothing where no alias is pending.
+(GAP, SIGN, COMMA, LOOSE_COMMA, W_PASSING, W_AS, QUOTE, OPEN, CLOSE, SEMICOLON, NAME, NAME_CALL,
+ NAME_DOT, JOINED, JOINED_CALL, JOINED_DOT, SINGLE_DOT, SINGLE_QUOTED, W_EXTRACT, W_FROM, W_JOIN,
+ W_TABLE, W_CALL, W_CLOSING, W_OTHER) = range(25)
+LAST_QUIET = QUOTE
 
 # Kept names are appended to a short list that is flushed at this length: appending copies the
 # list, so one long list would cost the square of the number of names.
@@ -63,16 +64,15 @@ def body_pieces(body: Column) -> Column:
     return F.regexp_extract_all(body, F.lit(lexis.BODY_TOKEN), F.lit(0))
 
 
-def _token_class(token: Column) -> Column:
-    first = F.substring(token, 1, 1)
+def _token_class(token: Column, word: Column) -> Column:
+    first = F.substring(word, 1, 1)
     last = F.right(token, F.lit(1))
-    word = F.upper(token)
     dotted = F.contains(token, F.lit("."))
+    bare = first.between("A", "Z") | (first == "_")
 
     def by_tail(plain: int, call: int, dot: int) -> Column:
         return F.when(last == "(", call).when(last == ".", dot).otherwise(plain)
 
-    bare = first.rlike("[A-Za-z_]")
     single_dot = token.rlike(rf"\A{lexis.FIRST_PART}{lexis.GAP}\.\z")
     return (
         F.when(token == "", GAP)
@@ -92,7 +92,7 @@ def _token_class(token: Column) -> Column:
         .when(token == "(", OPEN)
         .when(token == ")", CLOSE)
         .when(token == ";", SEMICOLON)
-        .when(first.isin("'", '"'), QUOTE)
+        .when((first == "'") | (first == '"'), QUOTE)
         .when(
             bare | ((first == "`") & (F.length(token) > 1)),
             F.when(~dotted, SINGLE_QUOTED)
@@ -105,6 +105,23 @@ def _token_class(token: Column) -> Column:
     )
 
 
+def _classed(tokens: Column) -> Column:
+    """Tokens as ``struct<at, text, word, cls>``, with their place from 0 and their class."""
+    worded = F.transform(
+        tokens,
+        lambda t, i: F.struct(i.alias("at"), t.alias("text"), F.upper(t).alias("word")),
+    )
+    return F.transform(
+        worded,
+        lambda w: F.struct(
+            w["at"].alias("at"),
+            w["text"].alias("text"),
+            w["word"].alias("word"),
+            _token_class(w["text"], w["word"]).alias("cls"),
+        ),
+    )
+
+
 def _starts_clause(token: Column) -> Column:
     """Whether the first part of a name is a bare word that cannot be an alias."""
     return F.upper(F.regexp_extract(token, rf"\A{lexis.BARE}", 0)).isin(*NO_ALIAS_WORDS)
@@ -116,120 +133,123 @@ def kept_names(tokens: Column) -> Column:
     Gives ``array<struct<at, token, role, joined>>`` in the order of the body; ``at`` counts tokens
     from 0.
     """
-    classed = F.transform(
-        tokens, lambda token: F.struct(token.alias("text"), _token_class(token).alias("cls"))
-    )
-    empty = F.array().cast(_NAME_TYPE)
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.lit(NOTHING).alias("role"),
-        F.lit(SETTLED).alias("alias"),
-        F.lit(False).alias("extract"),
-        F.lit(0).alias("depth"),
-        F.lit(0).alias("extract_depth"),
-        empty.alias("recent"),
-        F.array().cast(f"array<{_NAME_TYPE}>").alias("flushed"),
-    )
+    start = {
+        "role": F.lit(NOTHING),
+        "alias": F.lit(SETTLED),
+        "extract": F.lit(False),
+        "depth": F.lit(0),
+        "extract_depth": F.lit(0),
+        "recent": F.array().cast(_NAME_TYPE),
+        "flushed": F.array().cast(f"array<{_NAME_TYPE}>"),
+    }
 
     def step(acc: Column, x: Column) -> Column:
-        cls, text = x["cls"], x["text"]
+        cls = x["cls"]
         alias, depth, extract_depth = acc["alias"], acc["depth"], acc["extract_depth"]
-        is_word = cls >= W_EXTRACT
-        multipart = (cls >= NAME) & (cls <= JOINED_DOT)
-        call = cls.isin(NAME_CALL, JOINED_CALL)
-
-        # 1. Does the token belong to the alias of the relation before it?
-        no_alias_word = F.upper(text).isin(*NO_ALIAS_WORDS)
-        keeps = (
-            F.when(alias == SETTLED, False)
-            .when(alias == ALIASED, cls == COMMA)
-            .otherwise(cls.isin(COMMA, LOOSE_COMMA))
-        )
-        reads_as = (alias == NAMED) & (cls == W_AS)
-        reads_alias = (alias.isin(NAMED, AS_READ)) & (
-            cls.isin(SINGLE_QUOTED, JOINED) | (is_word & ((alias == AS_READ) | ~no_alias_word))
-        )
-        # "alias.rest": the first part is the alias and the dot ends the list of relations.
-        cut_alias = alias.isin(NAMED, AS_READ) & (
-            cls.isin(NAME, NAME_CALL, NAME_DOT, SINGLE_DOT, JOINED_CALL, JOINED_DOT)
-        ) & ((alias == AS_READ) | ~_starts_clause(text))
-        role = F.when((alias == SETTLED) | keeps, acc["role"]).otherwise(NOTHING)
-
-        # 2. If not, what does it announce, and is it a name to keep?
-        due = role != NOTHING
         in_extract = extract_depth > 0
-        new_role = (
-            F.when(keeps | reads_as | reads_alias, acc["role"])
-            .when(cut_alias, NOTHING)
-            .when(cls == W_FROM, F.when(in_extract, role).otherwise(RELATION))
-            .when(cls == W_JOIN, RELATION)
-            .when(cls == W_TABLE, TABLE)
-            .when(cls == W_CALL, CALL)
-            .when(
-                cls.isin(W_CLOSING, OPEN, CLOSE, SEMICOLON, NAME_CALL, NAME_DOT, JOINED_CALL,
-                         JOINED_DOT, SINGLE_DOT),
-                NOTHING,
+
+        def put(**changes: Column | int | bool) -> Column:
+            return F.struct(
+                *[
+                    (F.lit(v) if not isinstance(v, Column) else v).alias(f)
+                    for f, v in ((f, changes.get(f, acc[f])) for f in start)
+                ]
             )
-            .otherwise(role)
-        )
-        new_alias = (
-            F.when(keeps, SETTLED)
-            .when(reads_as, AS_READ)
-            .when(reads_alias, ALIASED)
-            .when(cut_alias, SETTLED)
-            .when(due & cls.isin(NAME, JOINED, SINGLE_QUOTED, W_OTHER), NAMED)
-            .otherwise(SETTLED)
-        )
-        keep = multipart & (due | call) & ~(reads_alias | cut_alias)
-        extract = (
-            F.when(reads_as | reads_alias | cut_alias, False)
-            .when(cls == W_EXTRACT, True)
-            .when(cls.isin(COMMA, LOOSE_COMMA, SIGN), acc["extract"])
-            .when((cls == W_FROM) & in_extract, acc["extract"])
-            .otherwise(False)
-        )
-        new_depth = (
-            F.when((cls == OPEN) | call, depth + 1)
-            .when(cls == CLOSE, F.greatest(depth - 1, F.lit(0)))
-            .otherwise(depth)
-        )
-        new_extract_depth = (
-            F.when((cls == OPEN) & acc["extract"] & ~in_extract, depth + 1)
-            .when((cls == CLOSE) & (depth <= extract_depth), 0)
-            .otherwise(extract_depth)
-        )
-        name = F.struct(
-            acc["at"].alias("at"),
-            text.alias("token"),
-            role.alias("role"),
-            (cls >= JOINED).alias("joined"),
+
+        def keeping(role: Column) -> dict[str, Column]:
+            name = F.struct(
+                x["at"].alias("at"),
+                x["text"].alias("token"),
+                role.alias("role"),
+                (cls >= JOINED).alias("joined"),
+            )
+            full = F.size(acc["recent"]) >= FLUSH
+            return {
+                "recent": F.when(full, F.array(name)).otherwise(
+                    F.concat(acc["recent"], F.array(name))
+                ),
+                "flushed": F.when(
+                    full, F.concat(acc["flushed"], F.array(acc["recent"]))
+                ).otherwise(acc["flushed"]),
+            }
+
+        def announced(role: Column) -> Column:
+            """What the token changes when it belongs to no alias."""
+            due = role != NOTHING
+            named = F.when(due, NAMED).otherwise(SETTLED)
+            closed = {"role": NOTHING, "alias": SETTLED, "extract": False}
+            call = closed | {"depth": depth + 1}
+            opened = F.when(acc["extract"] & ~in_extract, depth + 1).otherwise(extract_depth)
+            left = F.when(depth <= extract_depth, 0).otherwise(extract_depth)
+
+            def announces(new: int) -> Column:
+                return put(role=new, alias=SETTLED, extract=False)
+
+            return (
+                F.when(cls.isin(W_OTHER, SINGLE_QUOTED), put(role=role, alias=named, extract=False))
+                .when(cls == OPEN, put(**(call | {"extract_depth": opened})))
+                .when(
+                    cls == CLOSE,
+                    put(
+                        **closed,
+                        depth=F.greatest(depth - 1, F.lit(0)),
+                        extract_depth=left,
+                    ),
+                )
+                .when(
+                    cls.isin(NAME, JOINED),
+                    F.when(
+                        due, put(role=role, alias=NAMED, extract=False, **keeping(role))
+                    ).otherwise(put(**closed)),
+                )
+                .when(cls.isin(NAME_CALL, JOINED_CALL), put(**call, **keeping(role)))
+                .when(
+                    cls.isin(NAME_DOT, JOINED_DOT),
+                    F.when(due, put(**closed, **keeping(role))).otherwise(put(**closed)),
+                )
+                .when(
+                    cls == W_FROM,
+                    F.when(in_extract, put(role=role, alias=SETTLED)).otherwise(
+                        announces(RELATION)
+                    ),
+                )
+                .when(cls == W_JOIN, announces(RELATION))
+                .when(cls == W_TABLE, announces(TABLE))
+                .when(cls == W_CALL, announces(CALL))
+                .when(cls.isin(W_CLOSING, SEMICOLON, SINGLE_DOT), put(**closed))
+                .when(cls == W_EXTRACT, put(role=role, alias=SETTLED, extract=True))
+                .when(cls <= LOOSE_COMMA, put(role=role, alias=SETTLED))
+                .otherwise(put(role=role, alias=SETTLED, extract=False))
+            )
+
+        quiet = (alias == SETTLED) & (
+            ((cls <= LAST_QUIET) & ~acc["extract"])
+            | ((cls == W_OTHER) & (acc["role"] == NOTHING) & ~acc["extract"])
         )
-        full = F.size(acc["recent"]) >= FLUSH
-        moved = F.struct(
-            (acc["at"] + 1).alias("at"),
-            new_role.alias("role"),
-            new_alias.alias("alias"),
-            extract.alias("extract"),
-            new_depth.alias("depth"),
-            new_extract_depth.alias("extract_depth"),
-            F.when(keep & full, F.array(name))
-            .when(keep, F.concat(acc["recent"], F.array(name)))
-            .otherwise(acc["recent"])
-            .alias("recent"),
-            F.when(keep & full, F.concat(acc["flushed"], F.array(acc["recent"])))
-            .otherwise(acc["flushed"])
-            .alias("flushed"),
+        # Past here a relation was just read: does the token belong to its alias?
+        is_word = (cls >= W_EXTRACT) | cls.isin(W_PASSING, W_AS)
+        free_word = is_word & ((alias == AS_READ) | ~x["word"].isin(*NO_ALIAS_WORDS))
+        # "alias.rest": the first part is the alias and the dot ends the list of relations.
+        cut_alias = cls.isin(NAME, NAME_CALL, NAME_DOT, JOINED_CALL, JOINED_DOT, SINGLE_DOT) & (
+            (alias == AS_READ) | ~_starts_clause(x["text"])
         )
-        skipped = F.struct(
-            (acc["at"] + 1).alias("at"),
-            *[acc[f].alias(f) for f in (
-                "role", "alias", "extract", "depth", "extract_depth", "recent", "flushed")],
+        after_cut = F.when(cls.isin(NAME_CALL, JOINED_CALL), depth + 1).otherwise(depth)
+        unread = announced(F.lit(NOTHING))
+        return (
+            F.when(quiet, acc)
+            .when(alias == SETTLED, announced(acc["role"]))
+            .when(cls == COMMA, put(alias=SETTLED))
+            .when(alias == ALIASED, unread)
+            .when(cls == LOOSE_COMMA, put(alias=SETTLED))
+            .when((alias == NAMED) & (cls == W_AS), put(alias=AS_READ))
+            .when(free_word | cls.isin(SINGLE_QUOTED, JOINED), put(alias=ALIASED))
+            .when(cut_alias, put(role=NOTHING, alias=SETTLED, depth=after_cut))
+            .otherwise(unread)
         )
-        return F.when(cls == GAP, skipped).otherwise(moved)
 
     return F.aggregate(
-        classed,
-        start,
+        _classed(tokens),
+        F.struct(*[v.alias(f) for f, v in start.items()]),
         step,
         lambda acc: F.concat(F.flatten(acc["flushed"]), acc["recent"]),
     )

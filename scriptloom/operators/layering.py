@@ -211,9 +211,10 @@ def _salted_keys(keys: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Repeat a hot dependency once per salt."""
     if hot is None:
         return keys.withColumn("salt", F.lit(0).cast("bigint"))
-    salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    last = (F.coalesce("_salts", F.lit(1)) - 1).cast("bigint")
+    salts = F.sequence(F.lit(0).cast("bigint"), last)
     return keys.join(F.broadcast(hot), "dep", "left").select(
-        "dep", F.explode(salts).cast("bigint").alias("salt")
+        "dep", F.explode(salts).alias("salt")
     )
 
 

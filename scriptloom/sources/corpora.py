@@ -19,6 +19,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _bound(sql: str) -> str:
+    """The query with its table left open for a DataFrame; other braces stay text."""
+    escaped = sql.replace("{", "{{").replace("}", "}}")
+    return escaped.replace("FROM orders", "FROM {orders}")
+
+
+def _spread(table: DataFrame) -> DataFrame:
+    """Rows of a small file over all cores: the work is on the texts, not on the scan."""
+    return table.repartition(table.sparkSession.sparkContext.defaultParallelism)
+
+
 # --- scripts ----------------------------------------------------------------------------------
 
 NL = "chr(10)"
@@ -60,7 +71,12 @@ _NUMBERS = """
            repeat(' ', CAST(o_orderkey % 5 AS INT)) AS pad
     FROM orders
 """
-_NUMBERS2 = f"SELECT *, h % 7 AS hd, t % 7 AS td FROM ({_NUMBERS}) AS numbers"
+NUMBERS_SQL = f"""
+    SELECT *, h % 7 AS hd, t % 7 AS td,
+           CASE m3 WHEN 0 THEN 'DETERMINISTIC AS (SELECT 1)' WHEN 1 THEN '; SELECT 1'
+                   ELSE 'AS (SELECT (1)' END AS broken
+    FROM ({_NUMBERS}) AS numbers
+"""
 
 # The query all bodies share. Each line starts with the pad, so dedent has work to do.
 _QUERY = """{pad}SELECT a.x, EXTRACT(DAY FROM a.ts) AS dy, -- reads dsc.vc({k})
@@ -127,13 +143,12 @@ AS r\'\'\'
 def main{m3}(x):
   return ds{hd}.v{h}(x)
 \'\'\';""",
-    10: """CREATE TABLE FUNCTION v{k}(n INT64) AS (
-  SELECT 1
-);""",
+    10: "CREATE TABLE FUNCTION ds{ds}.v{k}(n INT64) {broken}",
     11: """CREATE AGGREGATE FUNCTION ds{ds}.v{k}(x FLOAT64) RETURNS FLOAT64
-LANGUAGE js DETERMINISTIC AS r\"\"\"
-  return x;
-\"\"\";""",
+LANGUAGE js OPTIONS (library = "gs://b/one.js", determinism_level = 'deterministic')
+AS R \"\"\"
+  return "a" + 'b';
+\"\"\"; ignored""",
     12: """CREATE PROCEDURE proj.ds{ds}.v{k}()
 WITH CONNECTION `proj.us.spark{m3}`
 OPTIONS (engine = "SPARK", runtime_version = '2.{m3}', main_file_uri = 'gs://b/main{k}.py',
@@ -147,14 +162,33 @@ OPTIONS (endpoint = 'https://e/{k}', user_defined_context = [("mode", "m{m3}")],
 SCRIPTS_SQL = (
     "SELECT CAST(k AS STRING) AS script_id, CASE shape "
     + " ".join(f"WHEN {shape} THEN {text(script)}" for shape, script in _SHAPES.items())
-    + f" END AS sql FROM ({_NUMBERS2}) AS numbered"
+    + f" END AS sql FROM ({NUMBERS_SQL}) AS numbered"
 )
+BODIES_SQL = f"""
+    SELECT CAST(k AS STRING) AS script_id, {text(_QUERY)} AS body,
+           concat('ds', CAST(ds AS STRING)) AS dataset_id,
+           concat('v', CAST(k AS STRING)) AS object_id
+    FROM ({NUMBERS_SQL}) AS numbered
+"""
+PLACEHOLDERS_SQL = f"""
+    SELECT CAST(k AS STRING) AS script_id,
+           {text("SELECT '${project}' FROM `${project}`.ds.v{k}").replace("CAST(project AS STRING)", "'{project}'")}
+               AS body,
+           CASE m3 WHEN 0 THEN '' WHEN 1 THEN concat('p', CAST(k AS STRING)) END AS project
+    FROM ({NUMBERS_SQL}) AS numbered
+"""
+
+
+def order_bodies(spark: SparkSession, sf_dir: str, sql: str = BODIES_SQL) -> DataFrame:
+    """The shared query of the scripts alone, one per order, indented by zero to four blanks."""
+    orders = _spread(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
+    return spark.sql(_bound(sql), orders=orders)
 
 
 def order_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One script per order: 14 shapes over all six kinds, with some to reject."""
-    orders = read_table(spark, sf_dir, "orders")
-    return spark.sql(SCRIPTS_SQL.replace("FROM orders", "FROM {orders}"), orders=orders)
+    orders = _spread(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
+    return spark.sql(_bound(SCRIPTS_SQL), orders=orders)
 
 
 # --- free text --------------------------------------------------------------------------------
@@ -171,7 +205,7 @@ def free_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, pages and conversation turns as bodies with no home dataset."""
     sql, tables = FREE_TEXT_SQL, {}
     for name in ("documents", "pages", "conversations"):
-        tables[name] = read_table(spark, sf_dir, name)
+        tables[name] = _spread(read_table(spark, sf_dir, name))
         sql = sql.replace(f"FROM {name}", f"FROM {{{name}}}")
     return spark.sql(sql, **tables)
 
