@@ -203,79 +203,63 @@ _EDGES_SQL = f"""
       AND CAST(substr(f.object_id, 2) AS BIGINT) % 14 NOT IN (6, 10)
 """
 
-# --- tokens and names in free text ------------------------------------------------------------
+# --- tokens -----------------------------------------------------------------------------------
 
 _BARE = r"[A-Za-z_][A-Za-z0-9_-]*"
-_QPART = r"[\p{L}_][\p{L}\p{Nd}_-]*"
-_GAP = r"(?:[ \t\n\r]|--[^\n]*|/\*[\s\S]*?(?:\*/|\z))*"
-_GAP1 = r"(?:[ \t\n\r]|--[^\n]*|/\*[\s\S]*?(?:\*/|\z))+"
-_FIRST = rf"(?:{_BARE}|`[^`.]*`)"
-_PART = rf"(?:{_BARE}|`{_QPART}`)"
-# RE2 has no lookahead: names are read at full length, gaps are tokens, and both are sorted out
-# afterwards. The bare branch keeps a dot that follows it.
-_FREE_TOKEN = (
-    rf"{_STRINGS}".replace('\\"', '"')
-    + rf"|{_GAP1},|,|{_GAP1}"
-    + rf"|`{_QPART}(?:\.{_QPART}){{1,2}}`(?:\(|{_GAP}\.)?"
-    + rf"|{_FIRST}(?:{_GAP}\.{_GAP}{_PART})+(?:\(|{_GAP}\.)?"
-    + rf"|{_BARE}{_GAP}\.|`[^`.]*`{_GAP}\.|`[^`.]*`|{_BARE}"
+_QUOTED_PART = r"[\p{L}_][\p{L}\p{Nd}_-]*"
+_ALL_GAP = r"(?:[ \t\n\r]|--[^\n]*|/\*(?:[^*]|\*+[^*/])*\*+/|/\*[\s\S]*\z)+"
+# Before something else a gap must not end inside a comment, so comments are spelled to their end.
+_GAP1 = r"(?:[ \t\n\r]|--[^\n]*\n|/\*(?:[^*]|\*+[^*/])*\*+/)+"
+_GAP = _GAP1[:-1] + "*"
+_FIRST_PART = rf"(?:{_BARE}|`[^`.]*`)"
+_PART = rf"(?:{_BARE}|`{_QUOTED_PART}`)"
+_NAME_TAIL = rf"(?:\(|{_GAP}\.)?"
+# This engine's patterns have no lookahead: gaps are tokens of their own, names are read at full
+# length, and both are put right afterwards.
+_TOKEN = (
+    _STRINGS.replace('\\"', '"')
+    + rf"|{_GAP1},|,|{_ALL_GAP}"
+    + rf"|`{_QUOTED_PART}(?:\.{_QUOTED_PART}){{1,2}}`{_NAME_TAIL}"
+    + rf"|{_FIRST_PART}(?:{_GAP}\.{_GAP}{_PART})+{_NAME_TAIL}"
+    + rf"|{_FIRST_PART}{_GAP}\.|`[^`.]*`|{_BARE}"
     + r"""|[();]|[^A-Za-z_'"`(),;\s/-]+|[\s\S]"""
 )
+_LAST_THREE = rf"({_PART}{_GAP}\.{_GAP}{_PART}{_GAP}\.{_GAP}{_PART}{_NAME_TAIL})\z"
 
 
 def _tokens_sql(source: str) -> str:
-    """``(script_id, raw, tok)``: all tokens in order; longer names than three parts are cut."""
+    """All tokens in order. Of a name with more than three parts, those before the last three
+    are words and dots by themselves, unless it names a metadata table."""
     return f"""
-    SELECT script_id, tok, row_number() OVER (PARTITION BY script_id ORDER BY raw, sub) AS position
+    SELECT script_id, token,
+           row_number() OVER (PARTITION BY script_id ORDER BY place, sub) AS position
     FROM (
-      SELECT script_id, raw, unnest(pieces) AS tok, generate_subscripts(pieces, 1) AS sub
+      SELECT script_id, place, unnest(pieces) AS token, generate_subscripts(pieces, 1) AS sub
       FROM (
-        SELECT script_id, generate_subscripts(found, 1) AS raw, unnest(found) AS one,
-               CASE WHEN regexp_matches(one, '^[A-Za-z_`][\\s\\S]*[.]')
-                     AND len(regexp_extract_all(one, {_lit(_PART)})) > 3
-                     AND NOT (len(regexp_extract_all(one, {_lit(_PART)})) = 4 AND
-                       upper(replace(regexp_extract_all(one, {_lit(_PART)})[3], '`', ''))
-                         = 'INFORMATION_SCHEMA')
-                    THEN {_cut_long('one')} ELSE [one] END AS pieces
-        FROM (SELECT script_id, regexp_extract_all(body, {_lit(_FREE_TOKEN)}) AS found
-              FROM ({source}) AS s) AS f
-      ) AS c
-    ) AS u
-    WHERE NOT regexp_full_match(tok, {_lit(_GAP)})
-"""
-
-
-def _cut_long(token: str) -> str:
-    """All but the last three parts as single words, with the dots between as signs."""
-    parts = f"regexp_extract_all({token}, {_lit(_BARE)})"
-    lead = f"list_transform(list_slice({parts}, 1, len({parts}) - 3), lambda p: [p, '.'])"
-    rest = (
-        f"regexp_extract({token}, '({_BARE}[.]{_BARE}[.]{_BARE}(?:[(]|[.])?)$', 1)"
-    )
-    return f"list_concat(flatten({lead}), [{rest}])"
-
-
-def _names_sql(source: str) -> str:
-    """Names by windows: each token's class, then the last announcing token before it."""
-
-    def words(*names: str) -> str:
-        return ", ".join(f"'{n}'" for n in names)
-
-    from scriptloom.functions import references as r
-
-    return f"""
-    WITH tokens AS ({_tokens_sql(source)}),
-    classed AS (
-      SELECT *, upper(tok) AS word,
-        regexp_full_match(tok, {_lit(_BARE)}) AS is_word,
-        regexp_matches(tok, '^[A-Za-z_`]') AND contains(tok, '.') AS dotted,
-        regexp_matches(tok, '^`[^`.]*[.][^`]*`') AS joined,
-        CASE WHEN tok LIKE '%(' AND tok != '(' THEN true ELSE false END AS call,
-        len(regexp_extract_all(tok, {_lit(_PART)})) AS parts
-      FROM tokens
-    )
-    SELECT script_id, tok, position FROM classed
-"""
+        SELECT script_id, place,
+          CASE WHEN long AND NOT (len(parts) = 4 AND
+                 upper(replace(parts[3], '`', '')) = 'INFORMATION_SCHEMA')
+               THEN list_concat(
+                 flatten(list_transform(parts[1:len(parts) - 3], lambda p: [p, '.'])),
+                 [regexp_extract(token, {_lit(_LAST_THREE)}, 1)])
+               ELSE [token] END AS pieces
+        FROM (
+          SELECT *, regexp_matches(token, '^[A-Za-z_`]') AND len(parts) > 3 AS long
+          FROM (
+            SELECT script_id, token, place,
+                   CASE WHEN contains(token, '.')
+                        THEN regexp_extract_all(token, {_lit(_PART)}) ELSE [] END AS parts
+            FROM (
+              SELECT script_id, unnest(found) AS token, generate_subscripts(found, 1) AS place
+              FROM (SELECT script_id, regexp_extract_all(body, {_lit(_TOKEN)}) AS found
+                    FROM {source}) AS matched
+            ) AS listed
+          ) AS split
+        ) AS sized
+      ) AS cut
+    ) AS each_one
+    WHERE NOT regexp_full_match(token, {_lit(_ALL_GAP)})
+    """
 
 
 def oracle_sql() -> dict[str, str]:
@@ -461,6 +445,8 @@ def oracle_sql() -> dict[str, str]:
             " CASE WHEN shape = 9 THEN 'proj.us.conn' || m3 END AS external_connection",
             _ROUTINES,
         ),
+        "body_tokens": _tokens_sql(f"({corpora.BODIES_SQL}) AS bodies"),
+        "free_text_tokens": _tokens_sql(_FREE),
         "script_names": f"SELECT script_id, position, dataset_id, object_id, object_type,"
         f" has_project, metadata FROM ({_NAMES_SQL}) AS x",
         "references": _REFERENCES_SQL,
