@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from scriptloom.functions import lexis
+from scriptloom.functions.text import trim_edges
 from scriptloom.functions.values import bare_name, normalize_type, null_if_empty, unescape
 
 ITEMS_TYPE = "array<struct<grp:int,lead:string,open:string,text:string>>"
@@ -166,7 +167,7 @@ def outline(clauses: Column) -> Column:
             acc["grp"].alias("grp"),
             acc["lead"].alias("lead"),
             acc["open"].alias("open"),
-            F.trim(acc["item"]).alias("text"),
+            trim_edges(acc["item"]).alias("text"),
         )
         with_item = F.concat(acc["items"], F.array(item))
         lead = F.upper(F.regexp_extract(token, rf"({lexis.WORD})\s*+\z", 1))
@@ -205,7 +206,7 @@ def outline(clauses: Column) -> Column:
                     put(
                         depth=0,
                         outline=shown,
-                        items=F.when(F.trim(acc["item"]) != "", with_item).otherwise(acc["items"]),
+                        items=F.when(trim_edges(acc["item"]) != "", with_item).otherwise(acc["items"]),
                     ),
                 ).otherwise(put(depth=depth - 1, item=F.concat(acc["item"], text))),
             )

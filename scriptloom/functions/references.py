@@ -156,10 +156,10 @@ def kept_names(tokens: Column) -> Column:
                 ]
             )
 
-        def keeping(role: Column) -> dict[str, Column]:
+        def keeping(role: Column, token: Column | None = None) -> dict[str, Column]:
             name = F.struct(
                 x["at"].alias("at"),
-                x["text"].alias("token"),
+                (x["text"] if token is None else token).alias("token"),
                 role.alias("role"),
                 (cls >= JOINED).alias("joined"),
             )
@@ -233,7 +233,14 @@ def kept_names(tokens: Column) -> Column:
         cut_alias = cls.isin(NAME, NAME_CALL, NAME_DOT, JOINED_CALL, JOINED_DOT, SINGLE_DOT) & (
             (alias == AS_READ) | ~_starts_clause(x["text"])
         )
-        after_cut = F.when(cls.isin(NAME_CALL, JOINED_CALL), depth + 1).otherwise(depth)
+        after_cut = {
+            "role": NOTHING,
+            "alias": SETTLED,
+            "depth": F.when(cls.isin(NAME_CALL, JOINED_CALL), depth + 1).otherwise(depth),
+        }
+        # What follows the dot may still be a name of two parts that is called.
+        rest = F.regexp_replace(x["text"], rf"\A{lexis.FIRST_PART}{lexis.DOT}", "")
+        rest_called = (cls == NAME_CALL) & F.contains(rest, F.lit("."))
         unread = announced(F.lit(NOTHING))
         return (
             F.when(quiet, acc)
@@ -243,7 +250,12 @@ def kept_names(tokens: Column) -> Column:
             .when(cls == LOOSE_COMMA, put(alias=SETTLED))
             .when((alias == NAMED) & (cls == W_AS), put(alias=AS_READ))
             .when(free_word | cls.isin(SINGLE_QUOTED, JOINED), put(alias=ALIASED))
-            .when(cut_alias, put(role=NOTHING, alias=SETTLED, depth=after_cut))
+            .when(
+                cut_alias,
+                F.when(
+                    rest_called, put(**after_cut, **keeping(F.lit(NOTHING), rest))
+                ).otherwise(put(**after_cut)),
+            )
             .otherwise(unread)
         )
 
@@ -280,8 +292,8 @@ def object_type(role: Column, call: Column, obj: Column) -> Column:
 def located(names: Column) -> Column:
     """Kept names with their parts read.
 
-    Gives ``array<struct<at, dataset_id, object_id, object_type, has_project, metadata>>``;
-    ``metadata`` marks ``dataset.INFORMATION_SCHEMA.x``, which has no project although three parts.
+    Gives ``array<struct<at, width, dataset_id, object_id, object_type, has_project, metadata>>``;
+    ``width`` is the length of the name in its token, and ``metadata`` marks ``dataset.INFORMATION_SCHEMA.x``, which has no project although three parts.
     """
 
     def read(item: Column) -> Column:
@@ -299,6 +311,7 @@ def located(names: Column) -> Column:
         )
         return F.struct(
             name["at"].alias("at"),
+            F.length(name["token"]).alias("width"),
             F.when((size == 2) | metadata, part[0]).otherwise(part[1]).alias("dataset_id"),
             obj.alias("object_id"),
             object_type(name["role"], name["token"].endswith("("), obj).alias("object_type"),
@@ -403,7 +416,7 @@ def with_project(
     def spelled(n: Column) -> Column:
         token = F.get(tokens, n["at"])
         piece = F.get(pieces, n["at"])
-        gap = F.left(piece, F.length(piece) - F.length(token))
+        gap = F.left(piece, F.length(piece) - n["width"])
         quoted = [
             F.concat(F.lit("`"), part, F.lit("`"))
             for part in (project, n["dataset_id"], n["object_id"])
