@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from scriptloom.functions import lexis
+from scriptloom.functions.binding import let
 from scriptloom.functions.text import trim_edges
 from scriptloom.functions.values import bare_name, normalize_type, null_if_empty, unescape
 
@@ -59,7 +60,7 @@ CREATE_NAME = (
 
 _TOKEN = (
     rf"({lexis.SINGLE_CLOSED}|`[^`]*+`|{lexis.HEADER_COMMENT}|[()<>\[\],;]"
-    rf"|[^'\"`()<>\[\],;/-]++|[\s\S])"
+    rf"|(?:[^'\"`()<>\[\],;/-]|-(?!-)|/(?!\*))++|[\s\S])"
 )
 
 # Clauses as the outline shows them.
@@ -247,25 +248,46 @@ def returned_type(outline_text: Column, items: Column) -> Column:
     )
 
 
-def argument(text: Column, kind: Column) -> Column:
+def _groups(text: Column, pattern: str, count: int) -> Column:
+    """The groups of a match as an array; of text that does not match, one element."""
+    marked = "\0".join(f"${i + 1}" for i in range(count))
+    return F.split(F.regexp_replace(text, pattern, marked), "\0")
+
+
+def parsed_arguments(items: Column) -> Column:
+    return F.transform(items, lambda i: _groups(i, ARGUMENT, 4))
+
+
+def parsed_columns(items: Column) -> Column:
+    return F.transform(items, lambda i: _groups(i, COLUMN_ITEM, 2))
+
+
+def parsed_options(items: Column) -> Column:
+    return F.transform(items, lambda i: _groups(i, OPTION, 2))
+
+
+def all_parsed(parsed: Column) -> Column:
+    return F.forall(parsed, lambda p: F.size(p) > 1)
+
+
+def argument(parts: Column, kind: Column) -> Column:
     """One argument as ``struct<name, data_type, argument_kind, mode, is_aggregate>``."""
-    written = F.regexp_extract(text, ARGUMENT, 3)
+    mode, name, written, not_aggregate = (F.get(parts, F.lit(i)) for i in range(4))
     any_type = written.rlike(r"(?i)\AANY\s+TYPE\z")
-    not_aggregate = F.regexp_extract(text, ARGUMENT, 4) != ""
     return F.struct(
-        bare_name(F.regexp_extract(text, ARGUMENT, 2)).alias("name"),
+        bare_name(name).alias("name"),
         F.when(~any_type, normalize_type(written)).alias("data_type"),
         F.when(any_type, "ANY_TYPE").otherwise("FIXED_TYPE").alias("argument_kind"),
-        null_if_empty(F.upper(F.regexp_extract(text, ARGUMENT, 1))).alias("mode"),
-        F.when(not_aggregate, False)
+        null_if_empty(F.upper(mode)).alias("mode"),
+        F.when(not_aggregate != "", False)
         .when(kind == "AGGREGATE_FUNCTION", True)
         .alias("is_aggregate"),
     )
 
 
-def view_column(text: Column) -> Column:
+def view_column(parts: Column) -> Column:
     """One view column as ``struct<name, description>``."""
-    options = F.regexp_extract(text, COLUMN_ITEM, 2)
+    options = F.get(parts, F.lit(1))
     pair = rf"({_COLUMN})\s*+=?+\s*+({lexis.SINGLE_CLOSED}|\[[^\]]*+\]|[^,'\"\[]++)"
     descriptions = F.filter(
         F.zip_with(
@@ -275,10 +297,13 @@ def view_column(text: Column) -> Column:
         ),
         lambda e: e["key"] == "description",
     )
-    last = F.get(descriptions, F.size(descriptions) - 1)["value"]
+    last = let(descriptions, lambda found: F.get(found, F.size(found) - 1)["value"])
     return F.struct(
-        bare_name(F.regexp_extract(text, COLUMN_ITEM, 1)).alias("name"),
+        bare_name(F.get(parts, F.lit(0))).alias("name"),
         null_if_empty(
-            F.when(last.rlike(r"\A['\"]"), unescape(last)).otherwise(F.trim(last))
+            let(
+                F.when(options != "", last),
+                lambda v: F.when(v.rlike(r"\A['\"]"), unescape(v)).otherwise(F.trim(v)),
+            )
         ).alias("description"),
     )

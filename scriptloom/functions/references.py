@@ -35,6 +35,9 @@ NO_ALIAS_WORDS = (
     "END", "LOOP", "WHILE", "FOR", "IF", "WHEN", "ELSE", "THEN", "USING", "MERGE", "CALL",
 )
 METADATA_SCHEMA = "INFORMATION_SCHEMA"
+CLAUSE_WORDS = (
+    *RELATION_WORDS, *TABLE_WORDS, *CALL_WORDS, *CLOSING_WORDS, *PASSING_WORDS, "EXTRACT",
+)
 
 # Roles: what the place announces.
 NOTHING, RELATION, TABLE, CALL = 0, 1, 2, 3
@@ -64,11 +67,12 @@ def body_pieces(body: Column) -> Column:
     return F.regexp_extract_all(body, F.lit(lexis.BODY_TOKEN), F.lit(0))
 
 
-def _token_class(token: Column, word: Column) -> Column:
-    first = F.substring(word, 1, 1)
+def _token_class(token: Column) -> Column:
+    code = F.ascii(token)
+    word = F.upper(token)
     last = F.right(token, F.lit(1))
     dotted = F.contains(token, F.lit("."))
-    bare = first.between("A", "Z") | (first == "_")
+    bare = code.between(97, 122) | code.between(65, 90) | (code == ord("_"))
 
     def by_tail(plain: int, call: int, dot: int) -> Column:
         return F.when(last == "(", call).when(last == ".", dot).otherwise(plain)
@@ -78,23 +82,23 @@ def _token_class(token: Column, word: Column) -> Column:
         F.when(token == "", GAP)
         .when(
             bare & ~dotted,
-            F.when(word == "AS", W_AS)
+            F.when(~word.isin(*CLAUSE_WORDS), W_OTHER)
+            .when(word == "AS", W_AS)
             .when(word == "FROM", W_FROM)
             .when(word.isin(*PASSING_WORDS), W_PASSING)
             .when(word.isin(*CLOSING_WORDS), W_CLOSING)
             .when(word == "JOIN", W_JOIN)
             .when(word.isin(*TABLE_WORDS), W_TABLE)
             .when(word.isin(*CALL_WORDS), W_CALL)
-            .when(word == "EXTRACT", W_EXTRACT)
-            .otherwise(W_OTHER),
+            .otherwise(W_EXTRACT),
         )
         .when(token == ",", COMMA)
         .when(token == "(", OPEN)
         .when(token == ")", CLOSE)
         .when(token == ";", SEMICOLON)
-        .when((first == "'") | (first == '"'), QUOTE)
+        .when((code == ord("'")) | (code == ord('"')), QUOTE)
         .when(
-            bare | ((first == "`") & (F.length(token) > 1)),
+            bare | ((code == ord("`")) & (F.length(token) > 1)),
             F.when(~dotted, SINGLE_QUOTED)
             .when(single_dot, SINGLE_DOT)
             .when(token.rlike(_JOINED), by_tail(JOINED, JOINED_CALL, JOINED_DOT))
@@ -106,19 +110,10 @@ def _token_class(token: Column, word: Column) -> Column:
 
 
 def _classed(tokens: Column) -> Column:
-    """Tokens as ``struct<at, text, word, cls>``, with their place from 0 and their class."""
-    worded = F.transform(
-        tokens,
-        lambda t, i: F.struct(i.alias("at"), t.alias("text"), F.upper(t).alias("word")),
-    )
+    """Tokens as ``struct<at, text, cls>``, with their place from 0 and their class."""
     return F.transform(
-        worded,
-        lambda w: F.struct(
-            w["at"].alias("at"),
-            w["text"].alias("text"),
-            w["word"].alias("word"),
-            _token_class(w["text"], w["word"]).alias("cls"),
-        ),
+        tokens,
+        lambda t, i: F.struct(i.alias("at"), t.alias("text"), _token_class(t).alias("cls")),
     )
 
 
@@ -228,7 +223,7 @@ def kept_names(tokens: Column) -> Column:
         )
         # Past here a relation was just read: does the token belong to its alias?
         is_word = (cls >= W_EXTRACT) | cls.isin(W_PASSING, W_AS)
-        free_word = is_word & ((alias == AS_READ) | ~x["word"].isin(*NO_ALIAS_WORDS))
+        free_word = is_word & ((alias == AS_READ) | ~F.upper(x["text"]).isin(*NO_ALIAS_WORDS))
         # "alias.rest": the first part is the alias and the dot ends the list of relations.
         cut_alias = cls.isin(NAME, NAME_CALL, NAME_DOT, JOINED_CALL, JOINED_DOT, SINGLE_DOT) & (
             (alias == AS_READ) | ~_starts_clause(x["text"])

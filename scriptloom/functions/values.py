@@ -120,43 +120,55 @@ def minutes_to_millis(value: Column) -> Column:
 
 def normalize_interval(value: Column) -> Column:
     """An interval as ``Y-M D H:M:S``; hours, minutes and seconds carry, longer units do not."""
-    text = trim_edges(value)
-    number = F.regexp_extract(text, _UNIT_INTERVAL, 1).try_cast("bigint")
-    unit = F.upper(F.regexp_extract(text, _UNIT_INTERVAL, 2))
-    seconds = number * F.when(unit == "HOUR", 3600).when(unit == "MINUTE", 60).otherwise(1)
+    zero = F.lit("0")
 
     def spelled(years, months, days, hours, minutes, secs) -> Column:
         date = F.concat_ws(" ", F.concat_ws("-", years, months), days)
         return F.concat_ws(" ", date, F.concat_ws(":", hours, minutes, secs))
 
-    zero = F.lit("0")
-    by_unit = (
-        F.when(unit == "YEAR", spelled(number.cast("string"), zero, zero, zero, zero, zero))
-        .when(unit == "MONTH", spelled(zero, number.cast("string"), zero, zero, zero, zero))
-        .when(unit == "DAY", spelled(zero, zero, number.cast("string"), zero, zero, zero))
-        .otherwise(
-            spelled(
-                zero,
-                zero,
-                zero,
-                ((seconds - seconds % 3600) / 3600).cast("bigint").cast("string"),
-                ((seconds % 3600 - seconds % 60) / 60).cast("bigint").cast("string"),
-                (seconds % 60).cast("string"),
-            )
+    def by_unit(read: Column) -> Column:
+        number, unit = read["number"], read["unit"]
+        plain = number.cast("string")
+
+        def carried(seconds: Column) -> Column:
+            hours = ((seconds - seconds % 3600) / 3600).cast("bigint")
+            minutes = ((seconds % 3600 - seconds % 60) / 60).cast("bigint")
+            clock = [c.cast("string") for c in (hours, minutes, seconds % 60)]
+            return spelled(zero, zero, zero, *clock)
+
+        scale = F.when(unit == "HOUR", 3600).when(unit == "MINUTE", 60).otherwise(1)
+        return F.when(
+            number.isNotNull(),
+            F.when(unit == "YEAR", spelled(plain, zero, zero, zero, zero, zero))
+            .when(unit == "MONTH", spelled(zero, plain, zero, zero, zero, zero))
+            .when(unit == "DAY", spelled(zero, zero, plain, zero, zero, zero))
+            .otherwise(let(number * scale, carried)),
         )
-    )
-    clock = trim_edges(F.regexp_extract(text, _CLOCK_INTERVAL, 1))
-    part = [
-        F.coalesce(F.get(F.split(clock, ":"), F.lit(i)).try_cast("bigint"), F.lit(0)).cast("string")
-        for i in range(3)
-    ]
-    by_clock = spelled(zero, zero, zero, *part)
-    return (
-        F.when(text == "", text)
-        .when(text.rlike(_CANONICAL_INTERVAL), text)
-        .when(text.rlike(_UNIT_INTERVAL) & number.isNotNull(), by_unit)
-        .when(text.rlike(_CLOCK_INTERVAL) & clock.rlike(_CLOCK), by_clock)
-        .otherwise(value)
+
+    def by_clock(clock: Column) -> Column:
+        parts = [
+            F.coalesce(
+                F.get(F.split(clock, ":"), F.lit(i)).try_cast("bigint"), F.lit(0)
+            ).cast("string")
+            for i in range(3)
+        ]
+        return F.when(clock.rlike(_CLOCK), spelled(zero, zero, zero, *parts))
+
+    def normalized(text: Column) -> Column:
+        read = F.struct(
+            F.regexp_extract(text, _UNIT_INTERVAL, 1).try_cast("bigint").alias("number"),
+            F.upper(F.regexp_extract(text, _UNIT_INTERVAL, 2)).alias("unit"),
+        )
+        clock = trim_edges(F.regexp_extract(text, _CLOCK_INTERVAL, 1))
+        return (
+            F.when((text == "") | text.rlike(_CANONICAL_INTERVAL), text)
+            .when(text.rlike(_UNIT_INTERVAL), let(read, by_unit))
+            .when(text.rlike(_CLOCK_INTERVAL), let(clock, by_clock))
+        )
+
+    # Where nothing fits, the value stays as it was written.
+    return F.when(
+        value.isNotNull(), F.coalesce(let(trim_edges(value), normalized), value)
     )
 
 

@@ -37,10 +37,6 @@ def _given(*options: str) -> Column:
     return F.arrays_overlap(F.map_keys("_options"), F.array(*[F.lit(o) for o in options]))
 
 
-def _all_match(items: Column, pattern: str) -> Column:
-    return F.forall(items, lambda item: item.rlike(pattern))
-
-
 @built_once
 def _header_columns() -> list[tuple[str, Column]]:
     """The trimmed script, its header, what follows it and the word that ends the header."""
@@ -53,13 +49,13 @@ def _header_columns() -> list[tuple[str, Column]]:
     ]
 
 
-def _options_column(items: Column) -> Column:
-    """Option items as a map with lower-case keys; the last one of a key counts."""
+def _options_column(parsed: Column) -> Column:
+    """Options as a map with lower-case keys; the last one of a key counts."""
     entries = F.transform(
-        headers.items_of(items, "OPTIONS"),
-        lambda item: F.struct(
-            F.lower(values.bare_name(F.regexp_extract(item, headers.OPTION, 1))).alias("key"),
-            values.option_value(F.regexp_extract(item, headers.OPTION, 2)).alias("value"),
+        F.filter(parsed, lambda p: F.size(p) > 1),
+        lambda p: F.struct(
+            F.lower(values.bare_name(F.get(p, F.lit(0)))).alias("key"),
+            values.option_value(F.get(p, F.lit(1))).alias("value"),
         ),
     )
     return F.map_from_entries(values.last_entries(entries))
@@ -77,10 +73,8 @@ def _stage_columns() -> list[tuple[str, Column]]:
         F.regexp_replace(outline, headers.ROUTINE_OUTLINE, "")
     )
     first_items = headers.items_of(items, "")
-    sound_items = _all_match(headers.items_of(items, "OPTIONS"), headers.OPTION) & (
-        F.when(is_view, _all_match(first_items, headers.COLUMN_ITEM)).otherwise(
-            _all_match(first_items, headers.ARGUMENT)
-        )
+    sound_items = headers.all_parsed(F.col("_option_parts")) & headers.all_parsed(
+        F.col("_item_parts")
     )
     body_due = (F.col("_beyond") == "") & F.when(is_view, ends_with_as).otherwise(
         F.col("_ender") != ""
@@ -115,7 +109,14 @@ def _stage_columns() -> list[tuple[str, Column]]:
         ),
         ("_id", headers.name_parts(F.col("_name"))),
         ("_is_view", is_view),
-        ("_options", _options_column(items)),
+        (
+            "_item_parts",
+            F.when(is_view, headers.parsed_columns(first_items)).otherwise(
+                headers.parsed_arguments(first_items)
+            ),
+        ),
+        ("_option_parts", headers.parsed_options(headers.items_of(items, "OPTIONS"))),
+        ("_options", _options_column(F.col("_option_parts"))),
         ("_beyond", F.trim(beyond)),
         (
             "_raw_body",
@@ -230,7 +231,7 @@ def _result_columns(trim_body: bool, trim_comments: bool, trim_indentation: bool
     is_call = F.regexp_extract(outline, headers.VIEW_OUTLINE, 2) != ""
     field = values.bare_name(F.when(is_call, call_field).otherwise(partition))
     clustering = F.regexp_extract(outline, headers.VIEW_OUTLINE, 3)
-    first_items = headers.items_of(items, "")
+    parts = F.col("_item_parts")
     libraries = F.concat(
         F.coalesce(values.string_list(_option("library")), no_strings),
         F.coalesce(values.string_list(_option("libraries")), no_strings),
@@ -284,8 +285,8 @@ def _result_columns(trim_body: bool, trim_comments: bool, trim_indentation: bool
             is_view & (clustering != ""),
             F.transform(F.split(clustering, ","), lambda c: values.bare_name(trim_edges(c))),
         ).alias("clustering"),
-        routines(F.transform(first_items, lambda i: headers.argument(i, kind))).alias("arguments"),
-        views(F.transform(first_items, headers.view_column)).alias("view_columns"),
+        routines(F.transform(parts, lambda p: headers.argument(p, kind))).alias("arguments"),
+        views(F.transform(parts, headers.view_column)).alias("view_columns"),
         F.when(~returns_table, F.col("_returns")).alias("return_type"),
         F.when(returns_table, F.col("_returns")).alias("return_table_type"),
         F.col("remote_function_options"),

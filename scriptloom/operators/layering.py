@@ -18,12 +18,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptloom.functions.header import reference_id, resource_type
 from scriptloom.functions.references import METADATA_SCHEMA
-from scriptloom.session import checkpoint_dir
+from scriptloom.session import counted_stage, stage_table
 
 # An edge count is worth salting from here on; below it one task takes a dependency's edges.
 HOT_EDGES = 1_000_000
@@ -55,7 +55,7 @@ class CyclicDependencyError(LayeringError):
 
 @dataclass(frozen=True)
 class Layering:
-    """``layers`` is unsorted and checkpointed; ``rounds`` is the number of jobs run."""
+    """``layers`` is unsorted and written to a stage table; ``rounds`` is the number of jobs run."""
 
     layers: DataFrame
     rounds: int
@@ -145,41 +145,28 @@ def compute_layers(
 ) -> Layering:
     """Layers of ``nodes(dataset_id, object_id, object_type)`` under
     ``edges(src_dataset, src_object, dep_dataset, dep_object, dep_type)``, from layer 1 on."""
-    checkpoint_dir(nodes.sparkSession)
     if validate:
         validate_nodes(nodes)
 
-    counted = Observation()
-    candidates = (
-        candidate_edges(edges).observe(counted, F.count(F.lit(1)).alias("edges")).checkpoint()
+    candidates, counts = counted_stage(candidate_edges(edges))
+    hot = _hot_dependencies(candidates, counts["rows"], hot_edges)
+    known = _salted_keys(_node_keys(nodes), hot)
+    alive, counts = counted_stage(
+        _salted_edges(candidates, hot).join(known, ["dep", "salt"], "left_semi")
     )
-    hot = _hot_dependencies(candidates, counted.get["edges"], hot_edges)
-    counted = Observation()
-    alive = (
-        _salted_edges(candidates, hot)
-        .join(_salted_keys(_node_keys(nodes), hot), ["dep", "salt"], "left_semi")
-        .observe(counted, F.count(F.lit(1)).alias("edges"))
-        .checkpoint()
-    )
-    remaining = counted.get["edges"]
+    remaining = counts["rows"]
 
     settled, rounds = [], 0
     while remaining > 0:
         rounds += 1
-        counted = Observation()
-        after = (
-            _marked(alive, hot)
-            .observe(counted, F.count_if("lives").alias("living"))
-            .checkpoint()
-        )
-        living = counted.get["living"]
-        if living == remaining:
+        marked, counts = counted_stage(_marked(alive, hot), living=F.count_if("lives"))
+        if counts["living"] == remaining:
             raise _cycle(alive)
-        settled.append(after.filter("not lives").select("src", F.lit(rounds).alias("round")))
-        alive = after.filter("lives").drop("lives")
-        remaining = living
+        settled.append(marked.filter("not lives").select("src", F.lit(rounds).alias("round")))
+        alive = marked.filter("lives").drop("lives")
+        remaining = counts["living"]
 
-    return Layering(_layered(nodes, settled).checkpoint(), rounds)
+    return Layering(stage_table(_layered(nodes, settled)), rounds)
 
 
 def _hot_dependencies(alive: DataFrame, total: int, hot_edges: int) -> DataFrame | None:
@@ -188,12 +175,11 @@ def _hot_dependencies(alive: DataFrame, total: int, hot_edges: int) -> DataFrame
     threshold = max(total // HOT_SHARE, hot_edges)
     if total <= threshold:
         return None
-    return (
+    return stage_table(
         alive.groupBy("dep")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > threshold)
         .select("dep", F.lit(SALTS).alias("_salts"))
-        .checkpoint()
     )
 
 

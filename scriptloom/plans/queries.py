@@ -16,7 +16,7 @@ from scriptloom.operators import children, layering, outputs
 from scriptloom.operators import references as ref_ops
 from scriptloom.plans.lineage import creation_order, lineage
 from scriptloom.sources import corpora, scripts
-from scriptloom.session import checkpoint_dir
+from scriptloom.session import checkpoint_dir, stage_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -363,11 +363,10 @@ def indegrees(spark, sf_dir):
 
 
 def _script_graph(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    checkpoint_dir(spark)
     objects = ref_ops.reference_rows(_rows(spark, sf_dir)).select(
         "dataset_id", "object_id", F.col("kind").alias("object_type"), "references"
     )
-    return scripts.graph_of(objects.checkpoint())
+    return scripts.graph_of(stage_table(objects))
 
 
 @query
