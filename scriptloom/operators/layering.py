@@ -5,8 +5,11 @@ One round keeps the edges whose dependency itself still has an edge, and settles
     alive(k+1) = alive(k) LEFT SEMI JOIN distinct sources of alive(k) ON dependency = source
 
 A node's layer is one more than the number of rounds its last edge lived through, so it is an
-aggregate over the settled edges, and a round that settles nothing has met a cycle. Per round one
-job runs: a pre-aggregated distinct and one join. Nothing is collected but two counts.
+aggregate over the settled edges, and rounds that settle nothing have met a cycle. A round is a
+pre-aggregated distinct and one join. While there are many edges one job runs one round and leaves
+the living ones in a table; once few are left a job runs several rounds, as starting jobs is then
+what costs. Nothing is collected but counts. The sources are broadcast only where the counted
+bytes of their keys are few; else the edges are shuffled by dependency.
 
 Hot dependencies. One object may be what a third of all edges point at. An edge to a dependency
 with more than a 1/1000 of the edges carries a salt taken from its source, and the few such
@@ -29,6 +32,11 @@ from scriptloom.session import counted_stage, stage_table
 HOT_EDGES = 1_000_000
 HOT_SHARE = 1000
 SALTS = 64
+# Up to this many edges a job runs several rounds, above it one.
+FEW_EDGES = 4_000_000
+ROUNDS_PER_JOB = 4
+# The sources are broadcast where the keys of all living edges together are no larger than this.
+BROADCAST_BYTES = 8 << 20
 # Objects named in an error message; the error holds a DataFrame of all of them.
 NAMED_IN_ERROR = 100
 
@@ -55,10 +63,11 @@ class CyclicDependencyError(LayeringError):
 
 @dataclass(frozen=True)
 class Layering:
-    """``layers`` is unsorted and written to a stage table; ``rounds`` is the number of jobs run."""
+    """``layers`` is unsorted and written to a stage table; ``jobs`` is the number of jobs the
+    rounds took."""
 
     layers: DataFrame
-    rounds: int
+    jobs: int
 
     def ordered(self) -> DataFrame:
         """Sorted by layer, dataset and object."""
@@ -77,19 +86,24 @@ def _is_blank(value: Column) -> Column:
     return F.trim(F.coalesce(value, F.lit(""))) == ""
 
 
-def validate_nodes(nodes: DataFrame) -> None:
-    """Raise on a blank id or on an object listed twice."""
-    blank = nodes.filter(_is_blank(F.col("object_id")) | _is_blank(F.col("dataset_id"))).limit(1)
-    for row in blank.collect():
+def _raise_if_blank(nodes: DataFrame) -> None:
+    for row in nodes.filter(_has_blank_id()).limit(1).collect():
         if not (row["object_id"] or "").strip():
             raise BlankIdError(f"object_id is empty (dataset_id={row['dataset_id']!r})")
         raise BlankIdError(
             f"dataset_id is empty or could not be derived (object_id={row['object_id']!r})"
         )
+
+
+def _raise_if_duplicate(nodes: DataFrame) -> None:
     for row in duplicate_nodes(nodes).limit(1).collect():
         raise DuplicateObjectError(f"duplicate entry for {row['dataset_id']}.{row['object_id']}")
 
 
+def _has_blank_id() -> Column:
+    return _is_blank(F.col("object_id")) | _is_blank(F.col("dataset_id"))
+
+
 def duplicate_nodes(nodes: DataFrame) -> DataFrame:
     """Objects listed more than once, with their number of entries."""
     return (
@@ -141,32 +155,49 @@ def indegrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def compute_layers(
-    nodes: DataFrame, edges: DataFrame, validate: bool = True, hot_edges: int = HOT_EDGES
+    nodes: DataFrame, edges: DataFrame, hot_edges: int = HOT_EDGES, few_edges: int = FEW_EDGES
 ) -> Layering:
     """Layers of ``nodes(dataset_id, object_id, object_type)`` under
-    ``edges(src_dataset, src_object, dep_dataset, dep_object, dep_type)``, from layer 1 on."""
-    if validate:
-        validate_nodes(nodes)
+    ``edges(src_dataset, src_object, dep_dataset, dep_object, dep_type)``, from layer 1 on.
+
+    Raises on blank ids, on an object listed twice, and on a cycle.
+    """
+    nodes, counts = counted_stage(
+        nodes.select("dataset_id", "object_id", "object_type"), blank=F.count_if(_has_blank_id())
+    )
+    if counts["blank"]:
+        _raise_if_blank(nodes)
+    _raise_if_duplicate(nodes)
 
     candidates, counts = counted_stage(candidate_edges(edges))
     hot = _hot_dependencies(candidates, counts["rows"], hot_edges)
     known = _salted_keys(_node_keys(nodes), hot)
     alive, counts = counted_stage(
-        _salted_edges(candidates, hot).join(known, ["dep", "salt"], "left_semi")
+        _salted_edges(candidates, hot).join(known, ["dep", "salt"], "left_semi"),
+        key_bytes=_key_bytes(F.lit(True)),
     )
     remaining = counts["rows"]
 
-    settled, rounds = [], 0
+    settled, rounds, jobs = [], 0, 0
     while remaining > 0:
-        rounds += 1
-        marked, counts = counted_stage(_marked(alive, hot), living=F.count_if("lives"))
+        steps = ROUNDS_PER_JOB if remaining <= few_edges else 1
+        lives_on = F.col("lived") == steps
+        small = (counts["key_bytes"] or 0) <= BROADCAST_BYTES
+        marked, counts = counted_stage(
+            _marked(alive, hot, steps, small),
+            living=F.count_if(lives_on),
+            key_bytes=_key_bytes(lives_on),
+        )
         if counts["living"] == remaining:
             raise _cycle(alive)
-        settled.append(marked.filter("not lives").select("src", F.lit(rounds).alias("round")))
-        alive = marked.filter("lives").drop("lives")
+        settled.append(
+            marked.filter(~lives_on).select("src", (F.col("lived") + rounds + 1).alias("round"))
+        )
+        alive = marked.filter(lives_on).drop("lived")
         remaining = counts["living"]
+        rounds, jobs = rounds + steps, jobs + 1
 
-    return Layering(stage_table(_layered(nodes, settled)), rounds)
+    return Layering(stage_table(_layered(nodes, settled)), jobs)
 
 
 def _hot_dependencies(alive: DataFrame, total: int, hot_edges: int) -> DataFrame | None:
@@ -204,12 +235,27 @@ def _salted_keys(keys: DataFrame, hot: DataFrame | None) -> DataFrame:
     )
 
 
-def _marked(alive: DataFrame, hot: DataFrame | None) -> DataFrame:
-    """The edges with ``lives``: whether the dependency is itself the source of an edge."""
-    sources = _salted_keys(alive.select(F.col("src").alias("dep")).distinct(), hot)
-    return alive.join(sources.withColumn("lives", F.lit(True)), ["dep", "salt"], "left").select(
-        "src", "dep", "salt", F.col("lives").isNotNull().alias("lives")
-    )
+def _key_bytes(counted: Column) -> Column:
+    """Bytes the source keys of the counted edges take, repeats included."""
+    return F.sum(F.when(counted, F.octet_length("src") + 32))
+
+
+def _marked(alive: DataFrame, hot: DataFrame | None, steps: int, small: bool) -> DataFrame:
+    """The edges with ``lived``: through how many of ``steps`` rounds they live.
+
+    An edge lives through a round if its dependency is the source of an edge that got there.
+    """
+    marked = alive.withColumn("lived", F.lit(0))
+    for step in range(steps):
+        living = marked.filter(F.col("lived") == step)
+        sources = _salted_keys(living.select(F.col("src").alias("dep")).distinct(), hot)
+        sources = sources.withColumn("_source", F.lit(True))
+        lives = (F.col("lived") == step) & F.col("_source").isNotNull()
+        lived = F.when(lives, step + 1).otherwise(F.col("lived")).alias("lived")
+        marked = marked.join(
+            F.broadcast(sources) if small else sources, ["dep", "salt"], "left"
+        ).select("src", "dep", "salt", lived)
+    return marked
 
 
 def _layered(nodes: DataFrame, settled: list[DataFrame]) -> DataFrame:

@@ -58,13 +58,23 @@ def test_hub(spark, hot_edges):
     assert [r[0] for r in got] == [1, 2] + [3] * 300
 
 
-def test_cycle(spark):
+@pytest.mark.parametrize("few_edges", [0, 5, 10**6])
+def test_depth_beyond_one_job(spark, few_edges):
+    """A chain of eleven, one round a job and several."""
+    objects = [("d", f"n{i}", "VIEW", [("d", f"n{i - 1}", "VIEW"), ("d", "n0", "VIEW")])
+               for i in range(11)]
+    got = layered(spark, *objects, few_edges=few_edges)
+    assert [(r[0], r[2]) for r in got] == [(i + 1, f"n{i}") for i in range(11)]
+
+
+@pytest.mark.parametrize("few_edges", [0, 10**6])
+def test_cycle(spark, few_edges):
     f = "SCALAR_FUNCTION"
     nodes, edges = graph(
         spark, ("d", "a", f, [("d", "b", f)]), ("d", "b", f, [("d", "a", f)]),
         ("d", "after", f, [("d", "a", f)]), ("d", "free", f, []))
     with pytest.raises(layering.CyclicDependencyError, match="cyclic.*d.a, d.after, d.b$") as error:
-        layering.compute_layers(nodes, edges)
+        layering.compute_layers(nodes, edges, few_edges=few_edges)
     assert [r[0] for r in error.value.remaining.collect()] == ["d.a", "d.after", "d.b"]
 
 
@@ -121,4 +131,4 @@ def test_files_to_stages(spark, script_folder, tmp_path_factory):
     assert {r["object_id"] for r in second.collect()} == {"f2", "v2"}
     assert [tuple(r) for r in outputs.grants(result.objects).collect()] == [
         ("ds2", None, "ds1", "v1", "VIEW")]
-    assert creation_order(scripts).rounds == 2
+    assert creation_order(scripts).depth().collect()[0][0] == 3
