@@ -180,11 +180,13 @@ def compute_layers(
 
     settled, rounds, jobs = [], 0, 0
     while remaining > 0:
-        steps = ROUNDS_PER_JOB if remaining <= few_edges else 1
+        few = remaining <= few_edges
+        steps = ROUNDS_PER_JOB if few else 1
         lives_on = F.col("lived") == steps
         small = (counts["key_bytes"] or 0) <= BROADCAST_BYTES
         marked, counts = counted_stage(
             _marked(alive, hot, steps, small),
+            few,
             living=F.count_if(lives_on),
             key_bytes=_key_bytes(lives_on),
         )

@@ -53,9 +53,15 @@ def stage_table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def counted_stage(df: DataFrame, **counts) -> tuple[DataFrame, dict[str, int]]:
-    """``stage_table`` with aggregates taken while the rows are written."""
+def counted_stage(df: DataFrame, few: bool = False, **counts) -> tuple[DataFrame, dict[str, int]]:
+    """``stage_table`` with aggregates taken while the rows are written.
+
+    ``few`` rows go through ``checkpoint()``, which costs less to start.
+    """
     seen = Observation()
     named = [column.alias(name) for name, column in counts.items()]
-    staged = stage_table(df.observe(seen, F.count(F.lit(1)).alias("rows"), *named))
-    return staged, seen.get
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *named)
+    if few:
+        checkpoint_dir(df.sparkSession)
+        return observed.checkpoint(), seen.get
+    return stage_table(observed), seen.get
