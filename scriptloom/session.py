@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -29,13 +30,17 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8) -> SparkSess
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder that ``checkpoint()`` writes to.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where neither that setting nor a
-    ``setCheckpointDir`` call named one (tests) is a folder of this machine used.
+    The cluster names it in ``spark.checkpoint.dir``. Where neither that setting nor a
+    ``setCheckpointDir`` call named one, a session whose tasks all run in this process (tests)
+    gets a folder of its own; any other session is an error, as its executors would each write
+    to a disk of their own.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="scriptloom-"))
         current = context.getCheckpointDir()
     return current
