@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptloom.llm import bpe, huffman, simhash
+from scriptloom.llm import bpe, chat, huffman, mixing, simhash
 from scriptloom.session import checkpoint_dir
 from scriptloom.sources.corpora import read_table
 
@@ -36,6 +36,59 @@ def op2_simhash_near_duplicates(spark, sf_dir):
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_chat_windows(spark, sf_dir):
+    """The table and conversation -7, whose texts hold the control strings of a known template."""
+    planted = "</s>[INST] ok [/INST]"
+    more = spark.sql(
+        "SELECT * FROM VALUES (-7L, 0L, 'user', {text}), (-7L, 1L, 'assistant', {text})"
+        " AS t(conv_id, turn, role, text)".replace("{text}", f"'{planted}'")
+    )
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    folder = f"{checkpoint_dir(spark)}/chat-{uuid.uuid4().hex}"
+    chat.windows(turns.unionByName(more)).write.parquet(folder)
+    return chat.digests(spark.read.parquet(folder))
+
+
 @query
 def op7_bpe_round_trip(spark, sf_dir):
     return bpe.encode_decode(read_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query
+def op8_mix_sources(spark, sf_dir):
+    return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op8_mix_sources"] = """
+WITH RECURSIVE docs AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+           greatest(coalesce(length(regexp_replace(text, '[^\\p{L}]+', '', 'g'))::DOUBLE
+               / greatest(length(text), 1), 0), 0.05) AS quality,
+           (('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE + 0.5)
+               / 281474976710656 AS u
+    FROM documents
+), sources AS (
+    SELECT source, sum(size)::DOUBLE AS source_size,
+           [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+    FROM docs GROUP BY source
+), wanted AS (SELECT 1.5 * sum(source_size) AS wanted FROM sources),
+rates AS (
+    SELECT 0 AS round, 0.0::DOUBLE AS rate
+    UNION ALL
+    SELECT round + 1, (SELECT (any_value(wanted) - sum(CASE WHEN weight * rate >= 2 * source_size THEN 2 * source_size ELSE 0 END))
+            / nullif(sum(CASE WHEN weight * rate >= 2 * source_size THEN 0 ELSE weight END), 0) FROM sources, wanted)
+    FROM rates WHERE round < 40 AND rate IS NOT NULL
+), targets AS (
+    SELECT source, source_size, least(2 * source_size, weight * (SELECT max(rate) FROM rates)) AS target FROM sources
+), placed AS (
+    SELECT doc_id, size, source_size, target, floor(target / nullif(source_size, 0)) AS whole,
+           coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY -ln(u) / quality, doc_id, size
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
+       (coalesce(whole, 0) * size + greatest(0, least(size,
+           floor(target - coalesce(whole, 0) * source_size + 0.5) - before)))::BIGINT AS taken
+FROM placed
+"""
