@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scriptloom.llm import bpe, chat, huffman, mixing, simhash
+from scriptloom.llm import bpe, chat, huffman, labelled, mixing, quality, simhash, toxicity
 from scriptloom.session import checkpoint_dir
 from scriptloom.sources.corpora import read_table
 
@@ -92,3 +93,26 @@ SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
            floor(target - coalesce(whole, 0) * source_size + 0.5) - before)))::BIGINT AS taken
 FROM placed
 """
+
+
+def scored(docs: DataFrame, score, folds: int, held_out: int, threshold: float) -> DataFrame:
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(
+        doc_id.alias("doc_id"),
+        F.coalesce(labelled.fold(doc_id, folds) == held_out, F.lit(False)).alias("held_out"),
+        score.alias("score"),
+    ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+@query
+def op3_quality_neighbours(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return scored(docs, quality.score_column(spark, model, docs["text"]), 4, 2, quality.THRESHOLD)
+
+
+@query
+def op9_toxicity_counterfactual(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return scored(docs, toxicity.score_column(model, docs["text"]), 3, 1, toxicity.THRESHOLD)
