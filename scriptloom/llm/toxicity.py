@@ -1,6 +1,6 @@
 """Toxicity by a counterfactually regularised linear classifier.
 
-Features of a text are the words and word beginnings (four letters) it holds, anywhere in the whole
+Features of a text are the words and word beginnings (three to six letters) it holds, anywhere in the whole
 text. Logistic regression learns their weights from labelled documents. For sentences of the
 labelled documents that name a group, the group's term is swapped for another one; the squared
 change of the score is added to the loss, so that the mere mention of a group does not move the
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from scriptloom.llm.labelled import sample
 
 PER_CLASS = 6000
-FEATURES = 6000
+FEATURES = 2000
 SENTENCES = 4
 THRESHOLD = 0.7
 # Terms for groups of people that a neutral text may name.
@@ -38,13 +38,13 @@ GROUP_TERMS = (
     "refugee", "disabled", "deaf", "blind", "old", "young",
 )
 WORDS = re.compile(r"[^\W\d_]+")
-PREFIX = 4
+PREFIXES = (3, 4, 5, 6)
 
 
 def features(text: str | None) -> set[str]:
     """Words, and word beginnings with a mark before them."""
-    words = set(WORDS.findall((text or "").lower()))
-    return words | {"^" + w[:PREFIX] for w in words if len(w) > PREFIX}
+    found = set(WORDS.findall((text or "").lower()))
+    return found.union(*({"^" + w[:k] for w in found if len(w) > k} for k in PREFIXES))
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,7 +71,7 @@ def choose_features(rows: DataFrame, limit: int) -> tuple[list[str], int, int]:
         rows.mapInArrow(_counts, "name string, y int")
         .groupBy("name")
         .agg(F.sum("y").alias("with1"), F.sum(1 - F.col("y")).alias("with0"))
-        .where("with1 + with0 >= 5")
+        .where("with1 + with0 >= 3")
         .orderBy(F.abs((p - q) / spread).desc(), "name")
         .limit(limit)
     )
@@ -110,7 +110,7 @@ class Model:
     @property
     def groups_moved(self) -> float:
         """The largest difference that naming one group in place of another makes to the log-odds."""
-        moved = [self.weight.get(t, 0.0) + self.weight.get("^" + t[:PREFIX], 0.0) * (len(t) > PREFIX) for t in GROUP_TERMS]
+        moved = [sum(self.weight.get(f, 0.0) for f in features(t)) for t in GROUP_TERMS]
         return max(moved) - min(moved)
 
 
