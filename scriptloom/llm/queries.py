@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptloom.llm import bpe, chat, huffman, labelled, mixing, quality, simhash, toxicity
+from scriptloom.llm import bpe, chat, html_text, huffman, kmeans_tree, labelled, mixing, quality
+from scriptloom.llm import simhash, topk, toxicity
 from scriptloom.session import checkpoint_dir
 from scriptloom.sources.corpora import read_table
 
@@ -116,3 +117,33 @@ def op9_toxicity_counterfactual(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
     return scored(docs, toxicity.score_column(model, docs["text"]), 3, 1, toxicity.THRESHOLD)
+
+
+@query
+def op5_main_text(spark, sf_dir):
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_kmeans_tree_search(spark, sf_dir):
+    return kmeans_tree.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_norm_sorted_top_products(spark, sf_dir):
+    return topk.top_products(read_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op10_norm_sorted_top_products"] = """
+WITH ints AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM ints q JOIN ints c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
