@@ -195,17 +195,47 @@ def near_duplicates(
             fingerprint_column(docs[text_column], width).alias("fp"),
         )
     )
-    return prints.join(component_ids(prints), "fp").select(
+    return prints.join(component_ids(prints).select("fp", "component_id"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def component_ids(prints: DataFrame) -> DataFrame:
-    """``fp``, ``component_id`` for every different fingerprint of rows (doc_id, fp)."""
+    """``fp``, ``root`` and ``component_id`` for every different fingerprint of rows (doc_id, fp)."""
     first = stage_table(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = fingerprint_components(first)
     named = first.join(roots, first["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    return named.select("fp", "root").join(smallest, "root").select("fp", "component_id")
+    return named.select("fp", "root").join(smallest, "root").select("fp", "root", "component_id")
+
+
+def new_names(df: DataFrame, *bases: str) -> list[str]:
+    """Column names that ``df`` has not yet."""
+    own = {c.lower() for c in df.columns}
+    return [next(n for n in (b, *(f"{b}_{i}" for i in range(len(own) + 1))) if n not in own) for b in bases]
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs``, one of each component: that of the smallest doc_id, all columns kept.
+
+    Rows are staged once with a number of their own, so that of repeated rows exactly one stays.
+    """
+    fp, row = new_names(docs, "fp", "row")
+    staged = stage_table(
+        docs.withColumn(fp, fingerprint_column(docs[text_column], width)).withColumn(row, F.monotonically_increasing_id())
+    )
+    prints = staged.select(
+        F.col(id_column).cast("long").alias("doc_id"), F.col(fp).alias("fp"), F.col(row).alias("row")
+    )
+    classes = component_ids(prints.select("doc_id", "fp"))
+    # the first row of each fingerprint, then of each component, before anything is joined
+    firsts = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    kept = (
+        firsts.join(classes.select("fp", "root"), "fp")
+        .groupBy("root")
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.row").alias("kept_row"))
+    )
+    return staged.join(kept, staged[row] == kept["kept_row"], "left_semi").select(*docs.columns)
