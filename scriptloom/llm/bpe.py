@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 # Texts of these characters only: lower-casing, composition and word classes are the same in every
 # Unicode version, and white space bounds all words. Other texts take the general way.
 PLAIN = re.compile("[\t-\r -\x7e\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ‐-‧]*")
-CACHED = 400_000  # chunks of text whose ids a worker keeps
+CACHED = 800_000  # chunks of text whose ids a worker keeps
 
 
 class Vocabulary:
@@ -217,21 +217,20 @@ class Vocabulary:
     def _plain(self, text: str) -> bytes:
         pieces = text.lower().split()
         known = self.chunks
-        try:
-            return b"".join([known[piece] for piece in pieces])
-        except KeyError:
-            pass
-        out = []
-        for piece in pieces:
-            ids = known.get(piece)
-            if ids is None:
-                if len(known) >= CACHED:
-                    known.clear()
-                ids = self._words(self.words.findall(piece))
-                if len(piece) <= 64:
-                    known[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        found = list(map(known.get, pieces))
+        if None in found:
+            for at, ids in enumerate(found):
+                if ids is None:
+                    piece = pieces[at]
+                    ids = known.get(piece)
+                    if ids is None:
+                        if len(known) >= CACHED:
+                            known.clear()
+                        ids = self._words(self.words.findall(piece))
+                        if len(piece) <= 64:
+                            known[piece] = ids
+                    found[at] = ids
+        return b"".join(found)
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text as little-endian 32-bit integers."""

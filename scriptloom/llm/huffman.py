@@ -37,10 +37,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from scriptloom.llm.bpe import CACHED, PLAIN
+from scriptloom.llm.bpe import PLAIN
 from scriptloom.session import stage_table
 
 MAX_BITS = 20
+KNOWN = 2_000_000  # words and chunks whose ids a worker keeps
 STEP = 256
 BLOCK_IDS = 1 << 17  # a block is closed by the document that reaches this many ids
 BLOCKS = (
@@ -60,8 +61,9 @@ class LibraryEncoder:
     the ids that end a word. Every other text is given to it as a whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kind: str = "<u4"):
         self.library = Tokenizer.from_file(path)
+        self.kind = np.dtype(kind)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         split = [s for s in spec["pre_tokenizer"].get("pretokenizers", []) if s["type"] == "Split"]
@@ -78,7 +80,7 @@ class LibraryEncoder:
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4") for e in coded]
+        return [np.array(e.ids, dtype=self.kind) for e in coded]
 
     def _learn(self, chunks: list[str]) -> None:
         """Put the ids of new words, then those of the chunks made of them, into the tables."""
@@ -88,7 +90,7 @@ class LibraryEncoder:
         for start in range(0, len(new), 1000):
             some = new[start : start + 1000]
             ids = self._ids([" ".join(some)])[0]
-            bounds = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            bounds = (np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize
             if len(bounds) != len(some):
                 raise AssertionError("a word was cut in two")
             raw, at = ids.tobytes(), 0
@@ -100,23 +102,29 @@ class LibraryEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        if len(self.known) > CACHED or len(self.chunks) > CACHED:
+        if len(self.known) + len(self.chunks) > KNOWN:
             self.known.clear()
             self.chunks.clear()
-        plain, rest = [], []
+        rest, open_texts, new = [], [], set()
+        look_up = self.chunks.get
         for i, text in enumerate(texts):
             if not text:
                 continue
             if self.by_word and "<|" not in text and PLAIN.fullmatch(text):
-                plain.append((i, text.lower().split()))
+                words = text.lower().split()
+                found = list(map(look_up, words))
+                if None in found:
+                    new.update(w for w, ids in zip(words, found) if ids is None)
+                    open_texts.append((i, words, found))
+                else:
+                    out[i] = b"".join(found)
             else:
                 rest.append(i)
-        chunks = self.chunks
-        new = {w for _, words in plain for w in words if w not in chunks}
         if new:
             self._learn(list(new))
-        for i, words in plain:
-            out[i] = b"".join([chunks[w] for w in words])
+        chunks = self.chunks
+        for i, words, found in open_texts:
+            out[i] = b"".join([chunks[w] if ids is None else ids for w, ids in zip(words, found)])
         if rest:
             for i, ids in zip(rest, self._ids([texts[i] for i in rest])):
                 out[i] = ids.tobytes()
@@ -124,8 +132,8 @@ class LibraryEncoder:
 
 
 @lru_cache(maxsize=4)
-def library_encoder(path: str) -> LibraryEncoder:
-    return LibraryEncoder(path)
+def library_encoder(path: str, kind: str = "<u4") -> LibraryEncoder:
+    return LibraryEncoder(path, kind)
 
 
 def tokenised(
@@ -135,19 +143,18 @@ def tokenised(
     kind = "<u4" if wide else "<u2"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(path)
+        encoder = library_encoder(path, kind)
+        end = np.array([end_id], dtype=kind).tobytes()
         for batch in batches:
             for start in range(0, len(batch), 128):
                 part = batch.slice(start, 128)
                 coded = encoder.encode(part.column(1).to_pylist())
-                ids = [
-                    np.append(np.frombuffer(x, dtype="<u4"), end_id).astype(kind) for x in coded
-                ]
+                ids = [x + end for x in coded]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
-                        pa.array([len(x) for x in ids], pa.int32()),
-                        pa.array([x.tobytes() for x in ids], pa.binary()),
+                        pa.array([len(x) // len(end) for x in ids], pa.int32()),
+                        pa.array(ids, pa.binary()),
                     ],
                     names=["doc_id", "n_tokens", "ids"],
                 )
