@@ -134,7 +134,8 @@ def normalize_interval(value: Column) -> Column:
             hours = ((seconds - seconds % 3600) / 3600).cast("bigint")
             minutes = ((seconds % 3600 - seconds % 60) / 60).cast("bigint")
             clock = [c.cast("string") for c in (hours, minutes, seconds % 60)]
-            return spelled(zero, zero, zero, *clock)
+            # null if the seconds overflow: the value then stays as written
+            return F.when(seconds.isNotNull(), spelled(zero, zero, zero, *clock))
 
         scale = F.when(unit == "HOUR", 3600).when(unit == "MINUTE", 60).otherwise(1)
         return F.when(
@@ -142,7 +143,7 @@ def normalize_interval(value: Column) -> Column:
             F.when(unit == "YEAR", spelled(plain, zero, zero, zero, zero, zero))
             .when(unit == "MONTH", spelled(zero, plain, zero, zero, zero, zero))
             .when(unit == "DAY", spelled(zero, zero, plain, zero, zero, zero))
-            .otherwise(let(number * scale, carried)),
+            .otherwise(let(F.try_multiply(number, scale.cast("bigint")), carried)),
         )
 
     def by_clock(clock: Column) -> Column:

@@ -26,19 +26,14 @@ from pyspark.sql import functions as F
 
 from scriptloom.functions.header import reference_id, resource_type
 from scriptloom.functions.references import METADATA_SCHEMA
+from scriptloom.functions.text import trim_edges
 from scriptloom.session import counted_stage, stage_table
 
 # An edge count is worth salting from here on; below it one task takes a dependency's edges.
 HOT_EDGES = 1_000_000
 HOT_SHARE = 1000
 SALTS = 64
-# Up to this many edges a job runs several rounds, above it one.
-FEW_EDGES = 4_000_000
 ROUNDS_PER_JOB = 4
-# The sources are broadcast where the keys of all living edges together are no larger than this.
-BROADCAST_BYTES = 8 << 20
-# Objects named in an error message; the error holds a DataFrame of all of them.
-NAMED_IN_ERROR = 100
 
 
 class LayeringError(ValueError):
@@ -83,7 +78,7 @@ def node_key(dataset: Column, obj: Column) -> Column:
 
 
 def _is_blank(value: Column) -> Column:
-    return F.trim(F.coalesce(value, F.lit(""))) == ""
+    return trim_edges(F.coalesce(value, F.lit(""))) == ""
 
 
 def _raise_if_blank(nodes: DataFrame) -> None:
@@ -154,9 +149,7 @@ def indegrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def compute_layers(
-    nodes: DataFrame, edges: DataFrame, hot_edges: int = HOT_EDGES, few_edges: int = FEW_EDGES
-) -> Layering:
+def compute_layers(nodes: DataFrame, edges: DataFrame, hot_edges: int = HOT_EDGES) -> Layering:
     """Layers of ``nodes(dataset_id, object_id, object_type)`` under
     ``edges(src_dataset, src_object, dep_dataset, dep_object, dep_type)``, from layer 1 on.
 
@@ -173,22 +166,15 @@ def compute_layers(
     hot = _hot_dependencies(candidates, counts["rows"], hot_edges)
     known = _salted_keys(_node_keys(nodes), hot)
     alive, counts = counted_stage(
-        _salted_edges(candidates, hot).join(known, ["dep", "salt"], "left_semi"),
-        key_bytes=_key_bytes(F.lit(True)),
+        _salted_edges(candidates, hot).join(known, ["dep", "salt"], "left_semi")
     )
     remaining = counts["rows"]
 
     settled, rounds, jobs = [], 0, 0
     while remaining > 0:
-        few = remaining <= few_edges
-        steps = ROUNDS_PER_JOB if few else 1
-        lives_on = F.col("lived") == steps
-        small = (counts["key_bytes"] or 0) <= BROADCAST_BYTES
+        lives_on = F.col("lived") == ROUNDS_PER_JOB
         marked, counts = counted_stage(
-            _marked(alive, hot, steps, small),
-            few,
-            living=F.count_if(lives_on),
-            key_bytes=_key_bytes(lives_on),
+            _marked(alive, hot, ROUNDS_PER_JOB), living=F.count_if(lives_on)
         )
         if counts["living"] == remaining:
             raise _cycle(alive)
@@ -197,7 +183,7 @@ def compute_layers(
         )
         alive = marked.filter(lives_on).drop("lived")
         remaining = counts["living"]
-        rounds, jobs = rounds + steps, jobs + 1
+        rounds, jobs = rounds + ROUNDS_PER_JOB, jobs + 1
 
     return Layering(stage_table(_layered(nodes, settled)), jobs)
 
@@ -237,12 +223,7 @@ def _salted_keys(keys: DataFrame, hot: DataFrame | None) -> DataFrame:
     )
 
 
-def _key_bytes(counted: Column) -> Column:
-    """Bytes the source keys of the counted edges take, repeats included."""
-    return F.sum(F.when(counted, F.octet_length("src") + 32))
-
-
-def _marked(alive: DataFrame, hot: DataFrame | None, steps: int, small: bool) -> DataFrame:
+def _marked(alive: DataFrame, hot: DataFrame | None, steps: int) -> DataFrame:
     """The edges with ``lived``: through how many of ``steps`` rounds they live.
 
     An edge lives through a round if its dependency is the source of an edge that got there.
@@ -254,9 +235,7 @@ def _marked(alive: DataFrame, hot: DataFrame | None, steps: int, small: bool) ->
         sources = sources.withColumn("_source", F.lit(True))
         lives = (F.col("lived") == step) & F.col("_source").isNotNull()
         lived = F.when(lives, step + 1).otherwise(F.col("lived")).alias("lived")
-        marked = marked.join(
-            F.broadcast(sources) if small else sources, ["dep", "salt"], "left"
-        ).select("src", "dep", "salt", lived)
+        marked = marked.join(sources, ["dep", "salt"], "left").select("src", "dep", "salt", lived)
     return marked
 
 
@@ -287,7 +266,6 @@ def _cycle(alive: DataFrame) -> CyclicDependencyError:
         .distinct()
         .orderBy("reference_id")
     )
-    named = [row[0] for row in remaining.limit(NAMED_IN_ERROR + 1).collect()]
-    more = ", …" if len(named) > NAMED_IN_ERROR else ""
-    listed = ", ".join(named[:NAMED_IN_ERROR])
-    return CyclicDependencyError(f"cyclic dependency among: {listed}{more}", remaining)
+    return CyclicDependencyError(
+        f"cyclic dependency among {remaining.count()} objects; `remaining` lists them all", remaining
+    )

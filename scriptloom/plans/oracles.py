@@ -321,6 +321,9 @@ def oracle_sql() -> dict[str, str]:
         "load_table": "SELECT CAST(doc_id AS STRING) AS script_id, text AS sql FROM documents",
         "classify": _select(f"{_ID}, {_KIND} AS kind"),
         "rejects": _select(f"{_ID}, {_REASON} AS reason", "shape IN (6, 10)"),
+        "lineage_rejects": _select(f"{_ID}, {_REASON} AS reason", "shape IN (6, 10)"),
+        "huge_intervals": "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0"
+        " THEN 'INTERVAL 9223372036854775807 HOUR' ELSE '0-0 0 3:0:0' END AS normalized FROM orders",
         "rejects_routine_family": _select(
             f"{_ID}, CASE WHEN {_VIEWS} THEN 'not a routine' ELSE {_REASON} END AS reason",
             f"shape IN (6, 10) OR {_VIEWS}",

@@ -393,6 +393,21 @@ def creation_layers(spark, sf_dir):
     return creation_order(corpora.order_scripts(spark, sf_dir)).ordered()
 
 
+@query
+def lineage_rejects(spark, sf_dir):
+    """Scripts that the lineage leaves out, as it returns them."""
+    return lineage(corpora.order_scripts(spark, sf_dir), TARGET).rejects
+
+
+@query
+def huge_intervals(spark, sf_dir):
+    """Intervals whose seconds fit no 64-bit number stay as written, next to ones that fit."""
+    orders = corpora.read_table(spark, sf_dir, "orders")
+    number = F.when(F.col("o_orderkey") % 2 == 0, F.lit("9223372036854775807")).otherwise("3")
+    value = F.concat(F.lit("INTERVAL "), number, F.lit(" HOUR"))
+    return orders.select("o_orderkey", values.normalize_interval(value).alias("normalized"))
+
+
 @query
 def creation_stages(spark, sf_dir):
     """Stages written one folder per layer and read back."""
