@@ -81,8 +81,13 @@ def _is_blank(value: Column) -> Column:
     return trim_edges(F.coalesce(value, F.lit(""))) == ""
 
 
+def blank_nodes(nodes: DataFrame) -> DataFrame:
+    """The nodes whose dataset or object id is null or only white space."""
+    return nodes.filter(_has_blank_id())
+
+
 def _raise_if_blank(nodes: DataFrame) -> None:
-    for row in nodes.filter(_has_blank_id()).limit(1).collect():
+    for row in blank_nodes(nodes).limit(1).collect():
         if not (row["object_id"] or "").strip():
             raise BlankIdError(f"object_id is empty (dataset_id={row['dataset_id']!r})")
         raise BlankIdError(

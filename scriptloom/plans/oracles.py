@@ -322,6 +322,9 @@ def oracle_sql() -> dict[str, str]:
         "classify": _select(f"{_ID}, {_KIND} AS kind"),
         "rejects": _select(f"{_ID}, {_REASON} AS reason", "shape IN (6, 10)"),
         "lineage_rejects": _select(f"{_ID}, {_REASON} AS reason", "shape IN (6, 10)"),
+        "blank_ids": "SELECT concat('d', c_custkey::VARCHAR) AS dataset_id, CASE c_custkey % 4"
+        " WHEN 0 THEN chr(9) WHEN 1 THEN ' ' || chr(10) ELSE chr(12288) END AS object_id"
+        " FROM customer WHERE c_custkey % 4 <> 2",
         "huge_intervals": "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0"
         " THEN 'INTERVAL 9223372036854775807 HOUR' ELSE '0-0 0 3:0:0' END AS normalized FROM orders",
         "rejects_routine_family": _select(

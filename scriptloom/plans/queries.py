@@ -393,6 +393,20 @@ def creation_layers(spark, sf_dir):
     return creation_order(corpora.order_scripts(spark, sf_dir)).ordered()
 
 
+@query
+def blank_ids(spark, sf_dir):
+    """Customers as nodes; three of four have white space for an object id."""
+    key = F.col("c_custkey")
+    object_id = (
+        F.when(key % 4 == 0, F.lit("\t")).when(key % 4 == 1, F.lit(" \n"))
+        .when(key % 4 == 2, F.concat(F.lit("o"), key.cast("string"))).otherwise(F.lit("\u3000"))
+    )
+    nodes = corpora.read_table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("d"), key.cast("string")).alias("dataset_id"), object_id.alias("object_id")
+    )
+    return layering.blank_nodes(nodes)
+
+
 @query
 def lineage_rejects(spark, sf_dir):
     """Scripts that the lineage leaves out, as it returns them."""

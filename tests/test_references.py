@@ -92,118 +92,6 @@ def test_fixed_cases(spark):
 
 # --- a plain scanner ---------------------------------------------------------------------------
 
-IDENT = r"[A-Za-z_][A-Za-z0-9_-]*+"
-GAP = r"(?:[ \t\n\r]|--[^\n]*+|/\*(?:.|\n)*?\*/)*+"
-LITERAL = r"'(?:[^'\\]|\\.)*'"
-
-
-class Scanner:
-    """Walks a body by position and looks ahead as it needs; good for small well-closed bodies."""
-
-    def __init__(self, body: str):
-        self.body, self.at, self.found = body, 0, []
-
-    def take(self, pattern: str) -> str | None:
-        m = re.compile(pattern).match(self.body, self.at)
-        if m:
-            self.at = m.end()
-            return m.group()
-        return None
-
-    def name(self) -> list[str] | None:
-        """Parts of the longest dotted name here, at most three."""
-        start = self.at
-        joined = self.take(rf"`{IDENT}(?:\.{IDENT}){{1,2}}`")
-        if joined:
-            return joined.strip("`").split(".")
-        parts = []
-        while True:
-            part = self.take(rf"{IDENT}|`[^`.]*`")
-            if part is None:
-                break
-            parts.append(part.strip("`"))
-            end = self.at
-            if not self.take(rf"{GAP}\.{GAP}(?={IDENT}|`{IDENT}`)"):
-                break
-        if len(parts) > 3:
-            self.at = start
-            return None
-        if parts:
-            self.at = end
-        return parts or None
-
-    def list_goes_on(self) -> bool:
-        """After a relation: pass its alias; whether a comma keeps the list going."""
-        self.take(GAP)
-        here = self.at
-        word = self.take(rf"{IDENT}|`[^`]*`")
-        if word and word.upper() in refs.NO_ALIAS_WORDS:
-            self.at = here
-            return False
-        if word and word.upper() == "AS":
-            self.take(GAP)
-            self.take(rf"{IDENT}|`[^`]*`")
-        return self.take(",") is not None
-
-    def run(self):
-        role, depth, extracts, pending = 0, 0, [], False
-        while self.at < len(self.body):
-            if self.take(GAP) and self.at == len(self.body):
-                break
-            if self.take(LITERAL):
-                pending = False
-                continue
-            start = self.at
-            word = re.compile(IDENT).match(self.body, start)
-            dot_next = word and re.compile(rf"{GAP}\.").match(self.body, word.end())
-            if self.body[start] == "`" or dot_next:
-                parts = self.name()
-                if parts is not None:
-                    pending = False
-                    call = self.body[self.at:self.at + 1] == "("
-                    kept = len(parts) > 1 and (role or call)
-                    if kept:
-                        self.found.append((role, call, tuple(parts[-2:])))
-                    if role and not (kept or len(parts) == 1):
-                        continue
-                    if role and not self.list_goes_on():
-                        role = 0
-                    continue
-            if word:
-                self.at = word.end()
-                upper = word.group().upper()
-                if upper == "EXTRACT":
-                    pending = True
-                    continue
-                if upper == "FROM" and extracts:
-                    continue
-                pending = False
-                if upper in refs.RELATION_WORDS:
-                    role = refs.RELATION
-                elif upper in refs.TABLE_WORDS:
-                    role = refs.TABLE
-                elif upper in refs.CALL_WORDS:
-                    role = refs.CALL
-                elif upper in refs.CLOSING_WORDS:
-                    role = 0
-                elif upper not in refs.PASSING_WORDS and role:
-                    role = role if self.list_goes_on() else 0
-                continue
-            sign = self.body[start]
-            self.at += 1
-            if sign == "(":
-                depth += 1
-                if pending:
-                    extracts.append(depth)
-            elif sign == ")":
-                if extracts and extracts[-1] == depth:
-                    extracts.pop()
-                depth = max(depth - 1, 0)
-            if sign in "();":
-                role, pending = 0, False
-        return self.found
-
-
 PIECES = [
     "FROM", "join", "INTO", "UPDATE", "CALL", "USING", "WHERE", "ON", "SELECT", "AS", "EXTRACT",
     "UNNEST", "WITH", "LEFT", "SET", "TABLE", "a.b", "c.d.e", "`f.g`", "`h`.`i`", "j", "k", "`l`",
@@ -220,24 +108,37 @@ def random_body(rng: random.Random) -> str:
     return "".join(out)
 
 
-def test_against_plain_scanner(spark):
+# Statements and whether each refers to its name (for metadata: the part before the object).
+STATEMENTS = [
+    ("SELECT 1 FROM {d}.{o};", True),
+    ("SELECT 1 FROM x JOIN `{d}`.`{o}` AS k ON true;", True),
+    ("CALL {d}.{o}(1);", True),
+    ("SELECT {d}.{o}(2, 'q.w(') AS y;", True),
+    ("INSERT INTO {d}.{o} (c) SELECT 1;", True),
+    ("SELECT '{d}.{o}(' AS s;", False),
+    ("-- FROM {d}.{o}\nSELECT 1;", False),
+    ("/* CALL {d}.{o}() */ SELECT 1;", False),
+    ("SELECT {d}.{o} + 1;", False),
+    ("SELECT EXTRACT(DAY FROM {d}.{o});", False),
+    ("SELECT 1 FROM {d}.INFORMATION_SCHEMA.{o};", "INFORMATION_SCHEMA."),
+]
+
+
+def test_names_of_random_statements(spark):
     rng = random.Random(7)
-    bodies = [random_body(rng) for _ in range(3000)]
-    df = spark.createDataFrame(list(enumerate(bodies)), "i int, body string").repartition(4)
-    names = df.select("i", refs.body_tokens(F.col("body")).alias("t")).select(
-        "i", refs.kept_names(F.col("t")).alias("n")).select(
-        "i", "n", refs.located(F.col("n")).alias("l"))
-    got = {
-        r["i"]: [
-            (n["role"], n["token"].endswith("("), (at["dataset_id"], at["object_id"]))
-            for n, at in zip(r["n"], r["l"])
-        ]
-        for r in names.collect()
-    }
-    expected = {i: Scanner(body).run() for i, body in enumerate(bodies)}
-    wrong = [(bodies[i], expected[i], got[i]) for i in got if got[i] != expected[i]]
-    shortest = min(wrong, key=lambda w: len(w[0]), default=None)
-    assert shortest is None, f"{len(wrong)} differ, the shortest: {shortest}"
+    bodies, expected = [], set()
+    for i in range(400):
+        parts = []
+        for k in range(rng.randint(1, 12)):
+            pattern, counts = rng.choice(STATEMENTS)
+            parts.append(pattern.format(d=f"d{k}", o=f"o{i}"))
+            if counts:
+                schema = counts if isinstance(counts, str) else ""
+                expected.add((str(i), f"d{k}", f"{schema}o{i}"))
+        bodies.append((str(i), "\n".join(parts), None, None))
+    df = spark.createDataFrame(bodies, SCHEMA).repartition(4)
+    rows = ops.refs_table(ops.with_references(df)).collect()
+    assert {(r["script_id"], r["dataset_id"], r["object_id"]) for r in rows} == expected
 
 
 def test_pieces_tile_the_body(spark):
