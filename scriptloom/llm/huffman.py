@@ -11,8 +11,8 @@ File format, under one folder:
 
 - ``code``: Parquet, one row: ``bits`` (length of the code word of each id; 0 if unused).
 - ``blocks``: Parquet, one row per block: ``file`` and ``block`` (order), ``in_file`` (ids before it
-  in its file), ``n_ids``,
-  ``doc_ids``, ``doc_tokens``, ``offsets`` (bit offsets, one per ``STEP`` ids), ``payload``.
+  in its file), ``n_ids``, ``doc_ids``, ``doc_tokens``, ``offsets`` (bit offsets, one per ``STEP``
+  ids), ``payload``.
 
 Tokenising runs once; ids are kept in a stage table as 16 or 32-bit integers. Files are ranges of
 doc_id taken from quantiles, so no task sees more than its share; what goes through the driver is

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptloom.llm.vectors import QUERY_EVERY, best_per_query, first_best, is_query, matrix, usable
@@ -155,8 +155,6 @@ def calibrated_visits(index: DataFrame, tree: Tree, kind: str, dimension: int, e
     leaf_of = found.groupBy("query_id", "vec_id").agg(F.max(F.struct("score", "leaf")).alias("s")).select(
         "query_id", "vec_id", "s.score", "s.leaf"
     )
-    from pyspark.sql import Window
-
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     true = leaf_of.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "leaf").collect()
     ranks = []
@@ -172,7 +170,7 @@ def calibrated_visits(index: DataFrame, tree: Tree, kind: str, dimension: int, e
 def _search(kind: str, dimension: int, k: int):
     """Chunks in rows (leaf, chunk, is_query, id, raw), sorted: vectors first, then queries."""
 
-    def answers(ids, vectors, lengths, query_ids, queries) -> Iterator[pa.RecordBatch]:
+    def answers(ids, vectors, query_ids, queries) -> Iterator[pa.RecordBatch]:
         step = max(1, 4_000_000 // max(1, len(ids)))
         for start in range(0, len(queries), step):
             some, some_ids = queries[start : start + step], query_ids[start : start + step]
@@ -223,7 +221,7 @@ def _search(kind: str, dimension: int, k: int):
                     vectors = np.frombuffer(b"".join(raws), dtype=kind).reshape(-1, dimension).astype(np.float64)
                     all_ids, raws = np.concatenate(ids), []
                 queries = np.frombuffer(b"".join(raw[start:end]), dtype=kind).reshape(-1, dimension)
-                yield from answers(all_ids, vectors, None, row_id[start:end], queries.astype(np.float64))
+                yield from answers(all_ids, vectors, row_id[start:end], queries.astype(np.float64))
 
     return run
 
