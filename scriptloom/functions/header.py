@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from scriptloom.functions import lexis
 from scriptloom.functions.binding import let
 from scriptloom.functions.text import trim_edges
-from scriptloom.functions.values import bare_name, normalize_type, null_if_empty, unescape
+from scriptloom.functions.values import bare_name, normalize_type, null_if_empty, type_json, unescape
 
 ITEMS_TYPE = "array<struct<grp:int,lead:string,open:string,text:string>>"
 
@@ -51,6 +51,7 @@ _KIND = (
     rf"(MATERIALIZED{_END}{_GAP}VIEW|VIEW|TABLE{_END}{_GAP}FUNCTION"
     rf"|AGGREGATE{_END}{_GAP}FUNCTION|FUNCTION|PROCEDURE){_END}"
 )
+LEADING_GAP = rf"\A{_GAP}"
 CREATE = _CREATE
 CREATE_KIND = rf"{_CREATE}(TEMPORARY{_END}|TEMP{_END})?{_GAP}{_KIND}"
 CREATE_NAME = (
@@ -271,18 +272,23 @@ def all_parsed(parsed: Column) -> Column:
 
 
 def argument(parts: Column, kind: Column) -> Column:
-    """One argument as ``struct<name, data_type, argument_kind, mode, is_aggregate>``."""
+    """One argument as ``struct<name, data_type, argument_kind, mode, is_aggregate, data_type_json>``."""
     mode, name, written, not_aggregate = (F.get(parts, F.lit(i)) for i in range(4))
     any_type = written.rlike(r"(?i)\AANY\s+TYPE\z")
-    return F.struct(
-        bare_name(name).alias("name"),
-        F.when(~any_type, normalize_type(written)).alias("data_type"),
-        F.when(any_type, "ANY_TYPE").otherwise("FIXED_TYPE").alias("argument_kind"),
-        null_if_empty(F.upper(mode)).alias("mode"),
-        F.when(not_aggregate != "", False)
-        .when(kind == "AGGREGATE_FUNCTION", True)
-        .alias("is_aggregate"),
-    )
+
+    def built(data_type: Column) -> Column:
+        return F.struct(
+            bare_name(name).alias("name"),
+            data_type.alias("data_type"),
+            F.when(any_type, "ANY_TYPE").otherwise("FIXED_TYPE").alias("argument_kind"),
+            null_if_empty(F.upper(mode)).alias("mode"),
+            F.when(not_aggregate != "", False)
+            .when(kind == "AGGREGATE_FUNCTION", True)
+            .alias("is_aggregate"),
+            type_json(data_type).alias("data_type_json"),
+        )
+
+    return let(F.when(~any_type, normalize_type(written)), built)
 
 
 def view_column(parts: Column) -> Column:
@@ -307,3 +313,17 @@ def view_column(parts: Column) -> Column:
             )
         ).alias("description"),
     )
+
+
+def schema_json(columns: Column) -> Column:
+    """View columns as JSON fields; a script names no types, so all read as STRING. None: null."""
+    fields = F.transform(
+        columns,
+        lambda c: F.struct(
+            c["name"].alias("name"),
+            F.lit("STRING").alias("type"),
+            F.lit("NULLABLE").alias("mode"),
+            c["description"].alias("description"),
+        ),
+    )
+    return F.when(F.size(columns) > 0, F.to_json(fields))

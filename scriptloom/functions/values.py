@@ -198,3 +198,100 @@ def normalize_type(text: Column) -> Column:
     words = F.regexp_extract_all(plain, F.lit(r"([^<>, ]++|[<>, ])"), F.lit(1))
     spelled = F.array_join(let(words, resolved), "")
     return null_if_empty(F.regexp_replace(spelled, ",", ", "))
+
+
+def type_json(normal: Column) -> Column:
+    """A type as ``normalize_type`` spells it, as the JSON tree of the warehouse's type objects.
+
+    ``{"typeKind": …}`` with ``arrayElementType``, ``structType.fields`` or ``tableType.columns``
+    for nested ones; a field without a name has a type only. No type stays null.
+    """
+    # The JSON form of nested types, before and after their elements.
+    opened = {
+        "A": '{"typeKind":"ARRAY","arrayElementType":',
+        "S": '{"typeKind":"STRUCT","structType":{"fields":[',
+        "T": '{"tableType":{"columns":[',
+    }
+    closed = {"A": "}", "S": "]}}", "T": ']},"typeKind":"TABLE"}'}
+    empty = {"A": opened["A"] + '{"typeKind":""}}', "S": '{"typeKind":"STRUCT","structType":{}}',
+             "T": '{"typeKind":"TABLE"}'}
+
+    def scalar(word: Column) -> Column:
+        return F.concat(F.lit('{"typeKind":"'), word, F.lit('"}'))
+
+    # A token is a word with the blank or "<" after it, ">" or ",".
+    tokens = F.regexp_extract_all(normal, F.lit(r"([^<>, ]++[ <]?+|>|, ?+)"), F.lit(1))
+    # ``stack`` has a letter for each open bracket; ``due`` is what comes next: a name, a type, nothing.
+    start = F.struct(F.lit("").alias("out"), F.lit("").alias("stack"), F.lit("type").alias("due"))
+
+    def step(acc: Column, token: Column) -> Column:
+        out, stack, due = acc["out"], acc["stack"], acc["due"]
+        top = F.right(stack, F.lit(1))
+        in_fields = top.isin("S", "T")
+        word = F.regexp_replace(token, r"[ <`]", "")
+        # a field begins where a name is due, with a comma unless it is the first
+        field = F.when(due == "name", F.concat(F.when(out.endswith("}"), ",").otherwise(""), F.lit("{")))
+        field = F.coalesce(field, F.lit(""))
+        typed = F.concat(out, field, F.when(due == "name", '"type":').otherwise(""))
+
+        def put(out: Column, stack: Column, due: str | Column) -> Column:
+            due = due if isinstance(due, Column) else F.lit(due)
+            return F.struct(out.alias("out"), stack.alias("stack"), due.alias("due"))
+
+        def opener(letter: str, due: str) -> Column:
+            return put(F.concat(typed, F.lit(opened[letter])), F.concat(stack, F.lit(letter)), due)
+
+        def closing(letter: str) -> Column:
+            filled = F.concat(
+                out,
+                F.when(in_fields & (due != "name"), "}").otherwise(""),
+                F.lit(closed[letter]),
+            )
+            bare = F.concat(
+                F.substring(out, F.lit(1), F.length(out) - len(opened[letter])), F.lit(empty[letter])
+            )
+            return F.when(out.endswith(opened[letter]), bare).otherwise(filled)
+
+        popped = F.substring(stack, F.lit(1), F.length(stack) - 1)
+        name = F.regexp_replace(word, r'(["\\])', r"\\$1")
+        return (
+            F.when(
+                token == ">",
+                put(
+                    F.when(top == "A", closing("A")).when(top == "S", closing("S"))
+                    .when(top == "T", closing("T")).otherwise(out),
+                    popped, "nothing",
+                ),
+            )
+            .when(
+                token.startswith(","),
+                F.when(
+                    in_fields & (due != "name"), put(F.concat(out, F.lit("}")), stack, "name")
+                ).otherwise(acc),
+            )
+            .when(
+                (due == "name") & token.endswith(" "),
+                put(F.concat(out, field, F.lit('"name":"'), name, F.lit('","type":')), stack, "type"),
+            )
+            .when(
+                token.endswith("<"),
+                F.when(due == "nothing", put(out, F.concat(stack, F.lit("R")), due))
+                .when(word == "ARRAY", opener("A", "type"))
+                .when(word == "STRUCT", opener("S", "name"))
+                .when(word == "TABLE", opener("T", "name"))
+                .otherwise(put(F.concat(typed, scalar(word)), F.concat(stack, F.lit("R")), "nothing")),
+            )
+            .when(due == "nothing", acc)
+            .otherwise(put(F.concat(typed, scalar(word)), stack, "nothing"))
+        )
+
+    nested = F.aggregate(tokens, start, step, lambda acc: acc["out"])
+    return F.when(normal.contains("<"), nested).when(
+        normal.isNotNull(), scalar(F.regexp_replace(normal, "`", ""))
+    )
+
+
+def table_columns_json(tree: Column) -> Column:
+    """The ``columns`` object of a table type given as ``type_json``; null for any other type."""
+    columns = F.regexp_extract(tree, r'\A\{"tableType":([\s\S]*),"typeKind":"TABLE"\}\z', 1)
+    return null_if_empty(columns)

@@ -213,6 +213,7 @@ def _group_columns() -> list[tuple[str, Column]]:
         ("python_options", F.when(routine & _given("entry_point", "packages"), python)),
         ("external_runtime_options", F.when(routine & has_external, external)),
         ("_returns", F.when(routine, headers.returned_type(outline, F.col("_outlined.items")))),
+        ("_returns_json", values.type_json(F.col("_returns"))),
     ]
 
 
@@ -289,6 +290,9 @@ def _result_columns(trim_body: bool, trim_comments: bool, trim_indentation: bool
         views(F.transform(parts, headers.view_column)).alias("view_columns"),
         F.when(~returns_table, F.col("_returns")).alias("return_type"),
         F.when(returns_table, F.col("_returns")).alias("return_table_type"),
+        F.when(~returns_table, F.col("_returns_json")).alias("return_type_json"),
+        values.table_columns_json(F.col("_returns_json")).alias("return_table_type_json"),
+        views(headers.schema_json(F.transform(parts, headers.view_column))).alias("schema_json"),
         F.col("remote_function_options"),
         F.col("spark_options"),
         F.col("python_options"),
@@ -320,6 +324,12 @@ def classify(scripts: DataFrame) -> DataFrame:
 _RESULTS: dict[tuple, object] = {}
 
 
+def _result_list(*flags: bool) -> list[Column]:
+    if flags not in _RESULTS:
+        _RESULTS[flags] = built_once(lambda: [("", c) for c in _result_columns(*flags)])
+    return [c for _, c in _RESULTS[flags]()]
+
+
 def catalog(
     scripts: DataFrame,
     family: str | None = None,
@@ -342,14 +352,65 @@ def catalog_rows(
 ) -> DataFrame:
     """``catalog`` for further projections only: columns not used are not computed, but a filter
     or join on the result would be moved into the projections."""
-    flags = (trim_body, trim_comments, trim_indentation)
-    if flags not in _RESULTS:
-        _RESULTS[flags] = built_once(lambda: [("", c) for c in _result_columns(*flags)])
+    results = _result_list(trim_body, trim_comments, trim_indentation)
     accepted = keep_where(_staged(scripts), _reason(family).isNull())
-    return with_each(accepted, _group_columns()).select(*[c for _, c in _RESULTS[flags]()])
+    return with_each(accepted, _group_columns()).select(*results)
+
+
+REJECT_COLUMNS = ("script_id", "reason", "offset", "line")
+_AFTER_HEADER = ("bad character or open quote", "malformed header", "no body", "unclosed body")
+
+
+@built_once
+def _place_columns() -> list[tuple[str, Column]]:
+    """Where reading stopped, for rows with a ``reason``; null for those without."""
+    reason, written = F.col("reason"), F.coalesce(F.col("sql"), F.lit(""))
+    named = F.regexp_extract("_header", headers.CREATE_KIND, 0)
+    at = (
+        F.when(reason == "empty script", 0)
+        .when(reason.isin(*_AFTER_HEADER), F.length("_header"))
+        .when(reason == "no object name", F.length(named))
+        .when(reason.isNotNull(), F.length(F.regexp_extract("_header", headers.LEADING_GAP, 0)))
+    )
+    # a trimmed script begins with no space, so it is first found where it was cut out
+    before = F.when(F.col("_sql") == "", 0).otherwise(F.instr(written, F.col("_sql")) - 1)
+    passed = F.substring(written, F.lit(1), F.col("offset"))
+    line_ends = F.length(passed) - F.length(F.replace(passed, F.lit("\n"), F.lit("")))
+    return [
+        ("offset", (before + at).cast("bigint")),
+        ("line", (line_ends + 1).cast("bigint")),
+    ]
 
 
 def rejects(scripts: DataFrame, family: str | None = None) -> DataFrame:
-    """``script_id`` and ``reason`` of the scripts that ``catalog`` leaves out."""
-    checked = _staged(scripts).select("script_id", _reason(family).alias("reason"))
-    return sealed(keep_where(checked, F.col("reason").isNotNull()))
+    """``script_id``, ``reason``, ``offset`` and ``line`` of the scripts that ``catalog`` leaves out.
+
+    ``offset`` counts the characters before the place where reading stopped, ``line`` is its line
+    from 1. The place is the sign that fits nowhere, the end of the header for what is wrong in it
+    or after it, the end of the kind where the name is missing, else the statement's first word.
+    """
+    checked = _staged(scripts).withColumn("reason", _reason(family))
+    kept = keep_where(checked, F.col("reason").isNotNull())
+    return sealed(with_each(kept, _place_columns()).select(*REJECT_COLUMNS))
+
+
+def checked_rows(
+    scripts: DataFrame,
+    family: str | None = None,
+    trim_body: bool = True,
+    trim_comments: bool = False,
+    trim_indentation: bool = True,
+) -> DataFrame:
+    """Accepted and rejected scripts in one pass, for a stage table that is split afterwards.
+
+    The columns of ``catalog_rows`` with ``reason``, ``offset`` and ``line``. A rejected script has
+    only these and its id; an accepted one has nulls in them.
+    """
+    checked = _staged(scripts).withColumn("reason", _reason(family))
+    results = _result_list(trim_body, trim_comments, trim_indentation)
+    accepted = F.when(F.col("reason").isNull(), F.struct(*results[1:])).alias("_accepted")
+    return (
+        with_each(with_each(checked, _place_columns()), _group_columns())
+        .select(*REJECT_COLUMNS, accepted)
+        .select(*REJECT_COLUMNS, "_accepted.*")
+    )

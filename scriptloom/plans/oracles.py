@@ -25,6 +25,15 @@ _KIND = """CASE WHEN shape IN (0, 7) THEN 'VIEW' WHEN shape IN (1, 8) THEN 'MATE
 _REASON = """CASE WHEN shape = 6 THEN 'temporary object' WHEN m3 = 2 THEN 'unclosed body'
     ELSE 'malformed header' END"""
 
+# Where reading stopped: at the statement, or at the end of the header. Shape 10 has one line.
+_OFFSET = """CASE WHEN shape = 6 THEN 0 ELSE length('CREATE TABLE FUNCTION ds' || ds || '.v' || k
+    || '(n INT64) ') + CASE m3 WHEN 0 THEN length('DETERMINISTIC ') WHEN 1 THEN length('; SELECT 1')
+    ELSE 0 END END"""
+_REJECTED = (
+    f"CAST(k AS STRING) AS script_id, {_REASON} AS reason, CAST({_OFFSET} AS BIGINT) AS \"offset\","
+    " CAST(1 AS BIGINT) AS line"
+)
+
 
 def _select(columns: str, where: str = "true", source: str = _N) -> str:
     return f"SELECT {columns} FROM {source} WHERE {where}"
@@ -320,15 +329,21 @@ def oracle_sql() -> dict[str, str]:
             FROM ({corpora.PLACEHOLDERS_SQL}) AS p""",
         "load_table": "SELECT CAST(doc_id AS STRING) AS script_id, text AS sql FROM documents",
         "classify": _select(f"{_ID}, {_KIND} AS kind"),
-        "rejects": _select(f"{_ID}, {_REASON} AS reason", "shape IN (6, 10)"),
-        "lineage_rejects": _select(f"{_ID}, {_REASON} AS reason", "shape IN (6, 10)"),
+        "load_scripts": "SELECT CAST(n_nationkey AS STRING) AS folder, 'CREATE VIEW ds.n' || n_nationkey"
+        " || ' AS SELECT ' || chr(39) || n_name || chr(39) || chr(10) AS sql FROM nation",
+        "rejects": _select(_REJECTED, "shape IN (6, 10)"),
+        "lineage_rejects": _select(_REJECTED, "shape IN (6, 10)"),
         "blank_ids": "SELECT concat('d', c_custkey::VARCHAR) AS dataset_id, CASE c_custkey % 4"
         " WHEN 0 THEN chr(9) WHEN 1 THEN ' ' || chr(10) ELSE chr(12288) END AS object_id"
         " FROM customer WHERE c_custkey % 4 <> 2",
         "huge_intervals": "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0"
         " THEN 'INTERVAL 9223372036854775807 HOUR' ELSE '0-0 0 3:0:0' END AS normalized FROM orders",
         "rejects_routine_family": _select(
-            f"{_ID}, CASE WHEN {_VIEWS} THEN 'not a routine' ELSE {_REASON} END AS reason",
+            f"{_ID}, CASE WHEN {_VIEWS} THEN 'not a routine' ELSE {_REASON} END AS reason,"
+            # shape 0 begins with a comment line
+            f" CAST(CASE WHEN shape = 0 THEN length('-- view ' || k) + 1 WHEN {_VIEWS} THEN 0"
+            f" ELSE {_OFFSET} END AS BIGINT) AS \"offset\","
+            " CAST(CASE WHEN shape = 0 THEN 2 ELSE 1 END AS BIGINT) AS line",
             f"shape IN (6, 10) OR {_VIEWS}",
         ),
         "accepted_views": _select(
@@ -401,6 +416,7 @@ def oracle_sql() -> dict[str, str]:
             _ROUTINES,
         ),
         "routine_arguments": _arguments_sql(),
+        "argument_types": _types_sql(),
         "view_columns": _list_rows(
             "position, name, type, mode, description",
             [
@@ -565,6 +581,38 @@ def _arguments_sql() -> str:
     )
 
 
+def _types_sql() -> str:
+    def kind(name: str) -> str:
+        return f'{{"typeKind":"{name}"}}'
+
+    def fields(*pairs: tuple[str, str]) -> str:
+        return "[" + ",".join(f'{{"name":"{n}","type":{kind(t)}}}' for n, t in pairs) + "]"
+
+    pairs = fields(("a", "INT64"), ("b", "NUMERIC"))
+    struct = f'{{"typeKind":"STRUCT","structType":{{"fields":{pairs}}}}}'
+    nested = f'{{"typeKind":"ARRAY","arrayElementType":{struct}}}'
+    plates = fields(("plate", "STRING"), ("at", "TIMESTAMP"))
+    returned = fields(("id", "INT64"), ("name", "STRING"))
+    typed = '"type":"STRING","mode":"NULLABLE"'
+    schema = (
+        f"""'[{{"name":"key",{typed},"description":"key, of ' || k || '"}},"""
+        f"""{{"name":"total",{typed}}}]'"""
+    )
+    trees = [
+        (2, "x", kind("INT64")), (2, "y", nested), (2, "(return)", kind("FLOAT64")),
+        (3, "n", kind("INT64")),
+        (3, "src", f'{{"tableType":{{"columns":{plates}}},"typeKind":"TABLE"}}'),
+        (3, "(table)", f'{{"columns":{returned}}}'),
+        (4, "x", kind("FLOAT64")), (4, "w", kind("FLOAT64")), (4, "(return)", kind("FLOAT64")),
+        (5, "a", kind("INT64")), (5, "b", kind("STRING")), (5, "c", kind("BOOL")),
+        (9, "x", kind("FLOAT64")), (9, "(return)", kind("STRING")),
+        (11, "x", kind("FLOAT64")), (11, "(return)", kind("FLOAT64")),
+        (13, "x", kind("BYTES")), (13, "(return)", kind("BYTES")),
+    ]
+    rows = [(f"shape = {shape}", f"'{place}'", f"'{tree}'") for shape, place, tree in trees]
+    return _list_rows("place, tree", [*rows, ("shape = 0", "'(schema)'", schema)])
+
+
 def _options_sql() -> str:
     written = {
         0: {

@@ -87,6 +87,18 @@ def load_table(spark, sf_dir):
     return scripts.as_scripts(documents, "doc_id", "text")
 
 
+@query
+def load_scripts(spark, sf_dir):
+    """A file per nation, in a folder of its own, loaded back from the folders."""
+    nation = corpora.read_table(spark, sf_dir, "nation")
+    view = F.concat(F.lit("CREATE VIEW ds.n"), "n_nationkey", F.lit(" AS SELECT '"), "n_name", F.lit("'"))
+    path = f"{checkpoint_dir(spark)}/scripts-{uuid.uuid4().hex}"
+    nation.select("n_nationkey", view.alias("sql")).write.partitionBy("n_nationkey").text(path)
+    return scripts.load_scripts(spark, f"{path}/*/*.txt").select(
+        F.regexp_extract("script_id", r"\An_nationkey=(\d+)/", 1).alias("folder"), "sql"
+    )
+
+
 @query
 def classify(spark, sf_dir):
     return cat.classify(corpora.order_scripts(spark, sf_dir))
@@ -192,7 +204,29 @@ def return_types(spark, sf_dir):
 
 @query
 def routine_arguments(spark, sf_dir):
-    return children.arguments(_rows(spark, sf_dir, cat.ROUTINE))
+    return children.arguments(_rows(spark, sf_dir, cat.ROUTINE)).drop("data_type_json")
+
+
+@query
+def argument_types(spark, sf_dir):
+    """The types of arguments, of what routines return and of view columns, as JSON trees."""
+    rows = _rows(spark, sf_dir).select(
+        "script_id", "arguments", "return_type_json", "return_table_type_json", "schema_json"
+    )
+    given = F.transform(
+        "arguments", lambda a: F.struct(a["name"].alias("place"), a["data_type_json"].alias("tree"))
+    )
+    whole = F.array(*[
+        F.struct(F.lit(place).alias("place"), F.col(column).alias("tree"))
+        for place, column in (
+            ("(return)", "return_type_json"),
+            ("(table)", "return_table_type_json"),
+            ("(schema)", "schema_json"),
+        )
+    ])
+    none = F.array().cast("array<struct<place:string,tree:string>>")
+    trees = F.filter(F.concat(F.coalesce(given, none), whole), lambda e: e["tree"].isNotNull())
+    return rows.select("script_id", F.inline(trees))
 
 
 @query

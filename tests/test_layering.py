@@ -147,3 +147,15 @@ def test_lineage_returns_what_it_rejects(spark, make_scripts):
     result = lineage(scripts)
     assert [r["script_id"] for r in result.rejects.collect()] == ["bad"]
     assert [r["object_id"] for r in result.layering.ordered().collect()] == ["v"]
+
+
+def test_files_of_one_name_stay_apart(spark, tmp_path):
+    for folder in ("a b", "c"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.sql").write_text(f"CREATE VIEW d.{folder[0]} AS SELECT 1")
+    below = load_scripts(spark, f"{tmp_path}/*/*.sql").collect()
+    assert len({r["script_id"] for r in below}) == 2
+    assert all(r["script_id"].endswith("/x") for r in below)
+    alone = load_scripts(spark, f"{tmp_path}/c/x.sql").collect()
+    assert [r["script_id"] for r in alone] == ["x"]
+    assert [r["script_id"] for r in load_scripts(spark, f"file://{tmp_path}/c").collect()] == ["x"]
