@@ -15,7 +15,10 @@ from scriptloom.functions.binding import let
 from scriptloom.functions.text import trim_edges
 from scriptloom.functions.values import bare_name, normalize_type, null_if_empty, type_json, unescape
 
-ITEMS_TYPE = "array<struct<grp:int,lead:string,open:string,text:string>>"
+# The fold writes items to one string: appending there moves bytes, where an array would be built
+# anew from its elements each time. A record ends with _RECORD, its fields are parted by _FIELD; the
+# text comes last and escapes only the first.
+_RECORD, _ESCAPE, _FIELD = "\x01", "\x02", "\x03"
 
 # --- fixed values: words of the CREATE statements ---------------------------------------------
 
@@ -156,7 +159,7 @@ def outline(clauses: Column) -> Column:
         F.lit("").alias("open"),
         F.lit("").alias("item"),
         F.lit(False).alias("done"),
-        F.array().cast(ITEMS_TYPE).alias("items"),
+        F.lit("").alias("items"),
     )
     fields = ("depth", "grp", "outline", "lead", "open", "item", "done", "items")
 
@@ -165,13 +168,13 @@ def outline(clauses: Column) -> Column:
         text = F.when(token.startswith("--") | token.startswith("/*"), " ").otherwise(token)
         opens = token.isin("(", "<", "[")
         closes = token.isin(")", ">", "]")
-        item = F.struct(
-            acc["grp"].alias("grp"),
-            acc["lead"].alias("lead"),
-            acc["open"].alias("open"),
-            trim_edges(acc["item"]).alias("text"),
+        with_item = F.concat(
+            acc["items"],
+            F.concat_ws(
+                _FIELD, acc["grp"].cast("string"), acc["lead"], acc["open"], _escaped(trim_edges(acc["item"]))
+            ),
+            F.lit(_RECORD),
         )
-        with_item = F.concat(acc["items"], F.array(item))
         lead = F.upper(F.regexp_extract(token, rf"({lexis.WORD})\s*+\z", 1))
 
         def put(**changes: Column | int | str | bool) -> Column:
@@ -223,11 +226,29 @@ def outline(clauses: Column) -> Column:
         lambda acc: F.struct(
             acc["depth"].alias("depth"),
             F.regexp_replace(acc["outline"], r"\s+", " ").alias("outline"),
-            acc["items"].alias("items"),
+            F.transform(
+                F.filter(F.split(acc["items"], _RECORD), lambda record: record != ""),
+                lambda record: let(F.split(record, _FIELD, 4), _item),
+            ).alias("items"),
         ),
     )
 
 
+def _escaped(text: Column) -> Column:
+    marked = F.replace(text, F.lit(_ESCAPE), F.lit(_ESCAPE + "e"))
+    return F.replace(marked, F.lit(_RECORD), F.lit(_ESCAPE + "r"))
+
+
+def _item(fields: Column) -> Column:
+    text = F.replace(F.get(fields, F.lit(3)), F.lit(_ESCAPE + "r"), F.lit(_RECORD))
+    return F.struct(
+        F.get(fields, F.lit(0)).cast("int").alias("grp"),
+        F.get(fields, F.lit(1)).alias("lead"),
+        F.get(fields, F.lit(2)).alias("open"),
+        F.replace(text, F.lit(_ESCAPE + "e"), F.lit(_ESCAPE)).alias("text"),
+    )
+
+
 def items_of(items: Column, lead: str, opener: str = "(") -> Column:
     """Texts of the items in the groups after the word ``lead``."""
     return F.transform(

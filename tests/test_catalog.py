@@ -366,6 +366,19 @@ def test_one_pass_has_both(make_scripts):
     assert rejected.collect() == cat.rejects(scripts).collect()
 
 
+def test_control_signs_in_option_texts(make_scripts):
+    odd = "a\x01b\x02e\x02r\x03c"
+    scripts = make_scripts({"v": f"CREATE VIEW d.v OPTIONS(description='{odd}', friendly_name='f') AS SELECT 1"})
+    row = cat.catalog(scripts).first()
+    assert (row["description"], row["friendly_name"]) == (odd, "f")
+
+
+def test_wide_views_keep_all_columns_in_order(make_scripts):
+    columns = ",\n".join(f'c{i} OPTIONS(description="the {i}, (col)")' for i in range(3000))
+    row = cat.catalog(make_scripts({"v": f"CREATE VIEW d.v ({columns}) AS SELECT 1"})).first()
+    assert [tuple(c) for c in row["view_columns"]] == [(f"c{i}", f"the {i}, (col)") for i in range(3000)]
+
+
 def test_families(make_scripts):
     scripts = make_scripts({"view": VIEW, "tf": TABLE_FUNCTION})
     assert [r["script_id"] for r in cat.catalog(scripts, cat.VIEW).collect()] == ["view"]
