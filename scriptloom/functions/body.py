@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from scriptloom.functions import lexis
+from scriptloom.functions.binding import let
 from scriptloom.functions.header import VIEW_KINDS
 
 _QUOTED = r"\A(?:[rR][ \t]*+)?(\"\"\"|''')([\s\S]*?)\1"
@@ -120,23 +121,24 @@ def body_of(after_header: Column, kind: Column) -> Column:
     text = F.ltrim(after_header, F.lit(" \t\n\r"))
     statement = F.regexp_extract(after_header, _STATEMENT, 1)
     quoted = F.regexp_extract(text, _QUOTED, 1)
-    paren = paren_length(text)
-    rest = F.substring(text, paren + 1, F.length(text))
-    # "(…) UNION ALL (…)" is one view query; nothing else goes on after the paren.
-    goes_on = kind.isin(*VIEW_KINDS) & ~rest.rlike(rf"\A(?:\s|{_COMMENT})*+(?:;|\z)")
-    block = block_length(text)
-    return (
-        F.when(
-            text.startswith("("),
-            F.when(paren > 0, F.when(goes_on, statement).otherwise(
-                F.substring(text, F.lit(2), paren - 2))),
+
+    def in_parens(paren: Column) -> Column:
+        rest = F.substring(text, paren + 1, F.length(text))
+        # "(…) UNION ALL (…)" is one view query; nothing else goes on after the paren.
+        goes_on = kind.isin(*VIEW_KINDS) & ~rest.rlike(rf"\A(?:\s|{_COMMENT})*+(?:;|\z)")
+        return F.when(
+            paren > 0,
+            F.when(goes_on, statement).otherwise(F.substring(text, F.lit(2), paren - 2)),
         )
+
+    def as_block(block: Column) -> Column:
+        return F.when(block > 0, F.substring(text, F.lit(1), block))
+
+    return (
+        F.when(text.startswith("("), let(paren_length(text), in_parens))
         .when(
             text.rlike(_QUOTED_START), F.when(quoted != "", F.regexp_extract(text, _QUOTED, 2))
         )
-        .when(
-            text.rlike(r"\A(?i:BEGIN)"),
-            F.when(block > 0, F.substring(text, F.lit(1), block)),
-        )
+        .when(text.rlike(r"\A(?i:BEGIN)"), let(block_length(text), as_block))
         .otherwise(statement)
     )

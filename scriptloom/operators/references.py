@@ -13,9 +13,13 @@ from scriptloom.functions.text import fill_project
 
 @built_once
 def _name_columns() -> list[tuple[str, Column]]:
+    # A kept name has a dot; where the body has none, its tokens need not be gone through.
+    searched = F.when(F.contains("body", F.lit(".")), F.col("_tokens")).when(
+        F.col("body").isNotNull(), F.array().cast("array<string>")
+    )
     return [
         ("_tokens", refs.body_tokens(F.col("body"))),
-        ("_names", refs.located(refs.kept_names(F.col("_tokens")))),
+        ("_names", refs.located(refs.kept_names(searched))),
     ]
 
 
