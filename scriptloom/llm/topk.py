@@ -91,7 +91,7 @@ def products(a: Side, b: Side) -> np.ndarray:
 
 
 def block_best(queries: Side, others: Side, threshold: np.ndarray, k: int):
-    """(query ids, ids, scores) of the k best of each query that reach its threshold."""
+    """(places of queries, ids, scores) of the k best of each query that reach its threshold."""
     lengths = queries.length[:, None] * others.length[None, :]
     bound = queries.first @ others.first.T
     bound += queries.left[:, None] * others.left[None, :]
@@ -109,7 +109,7 @@ def block_best(queries: Side, others: Side, threshold: np.ndarray, k: int):
             if len(np.unique(others.ids[at[scores >= border]])) >= k:
                 at, scores = at[scores >= border], scores[scores >= border]
         best = first_best(scores, others.ids[at], k)
-        out[0].append(np.full(len(best), queries.ids[i]))
+        out[0].append(np.full(len(best), i))
         out[1].append(others.ids[at[best]])
         out[2].append(scores[best])
     return tuple(np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in out)
@@ -181,8 +181,8 @@ def top_products(
                 threshold = np.full(len(queries.ids), -np.inf)
                 open_to_all = np.full(len(queries.ids), -np.inf)
                 of, _, scores = block_best(queries, longest, open_to_all, k)
-                for i, query in enumerate(queries.ids):
-                    own = scores[of == query]
+                for i in range(len(queries.ids)):  # by row: a repeated query has results for each copy
+                    own = scores[of == i]
                     if len(own) >= k:
                         threshold[i] = np.sort(own)[-k]
                 # a block below this length reaches no query's threshold
@@ -213,8 +213,11 @@ def top_products(
                 part, seq, q_ids, q_vectors, threshold, ids, found = (batch.column(c)[i].as_py() for c in range(7))
                 if held != (part, seq):
                     held, others = (part, seq), Side(ids, found, turn)
-                best = block_best(Side(q_ids, q_vectors, turn), others, np.frombuffer(threshold, dtype="<f8"), k)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in best], names=["query_id", "vec_id", "score"])
+                queries = Side(q_ids, q_vectors, turn)
+                at, *best = block_best(queries, others, np.frombuffer(threshold, dtype="<f8"), k)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (queries.ids[at], *best)], names=["query_id", "vec_id", "score"]
+                )
 
     found = pairs.select("part", "seq", "q_ids", "q_vectors", "threshold", "ids", "vectors").mapInArrow(
         meet, "query_id long, vec_id long, score long"

@@ -348,6 +348,20 @@ def test_top_products_are_exact(vectors, monkeypatch):
     assert len(got) == 76 and topk.top_products(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [2, 30])
+def test_top_products_with_every_row_repeated(spark, monkeypatch, copies):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 200)
+    z = np.random.default_rng(2).integers(-9, 10, (120, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(z.astype(float)) for _ in range(copies)]
+    got = {}
+    for r in topk.top_products(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), scale=1).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for at in range(0, 120, 20):
+        scores = z @ z[at]
+        true = [i for i in np.lexsort((np.arange(120), -scores)) if i != at][:20]
+        assert sorted(got[at]) == [(k + 1, int(i), int(scores[i])) for k, i in enumerate(true)]
+
+
 def test_mix_meets_its_targets(spark, docs, empty):
     made = mixing.mix_sources(docs)
     rows = made.collect()
