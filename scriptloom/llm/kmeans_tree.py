@@ -126,8 +126,8 @@ def _placed(rows: DataFrame, tree, kind: str, dimension: int) -> DataFrame:
 def calibrated_visits(index: DataFrame, tree: Tree, kind: str, dimension: int, every: int, k: int, recall: float) -> int:
     """Leaves to visit so that ``recall`` of the true neighbours of some queries lie in them."""
     chosen = (
-        index.where(is_query(every)).orderBy(F.xxhash64("vec_id"), "vec_id").limit(CALIBRATION)
-        .select("vec_id", "raw").collect()
+        index.where(is_query(every)).groupBy("vec_id").agg(F.min("raw").alias("raw"))
+        .orderBy(F.xxhash64("vec_id"), "vec_id").limit(CALIBRATION).collect()
     )
     if not chosen or tree.leaves < 2:
         return tree.leaves
@@ -141,15 +141,22 @@ def calibrated_visits(index: DataFrame, tree: Tree, kind: str, dimension: int, e
             other = batch.column(0).to_numpy()
             leaf = batch.column(1).to_numpy()
             vectors = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=kind).reshape(-1, dimension)
+            order = np.argsort(other, kind="stable")
+            other, leaf, vectors = other[order], leaf[order], vectors[order]
             scores = queries @ vectors.astype(np.float64).T
             scores[ids[:, None] == other[None, :]] = -np.inf
-            top = np.argpartition(-scores, min(k, len(other)) - 1, axis=1)[:, :k]
-            n = top.shape[1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.arange(len(ids)), n)), pa.array(other[top.ravel()]),
-                 pa.array(np.take_along_axis(scores, top, axis=1).ravel()), pa.array(leaf[top.ravel()])],
-                names=["query_id", "vec_id", "score", "leaf"],
-            )
+            near = scores >= id_border(scores, id_starts(other), k)[:, None]
+            near &= scores > -np.inf
+            out = ([], [], [], [])
+            for i in np.flatnonzero(near.any(axis=1)):
+                at = np.flatnonzero(near[i])
+                at = at[first_best(scores[i, at], other[at], k)]
+                for column, values in zip(out, (np.full(len(at), i), other[at], scores[i, at], leaf[at])):
+                    column.append(values)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(x)) for x in out], names=["query_id", "vec_id", "score", "leaf"]
+                )
 
     found = index.select("vec_id", "leaf", "raw").mapInArrow(run, SHAPE + ", leaf int").where("score > double('-inf')")
     leaf_of = found.groupBy("query_id", "vec_id").agg(F.max(F.struct("score", "leaf")).alias("s")).select(
@@ -167,18 +174,29 @@ def calibrated_visits(index: DataFrame, tree: Tree, kind: str, dimension: int, e
     return int(np.argmax(held >= recall)) + 1
 
 
+def id_starts(ids: np.ndarray) -> np.ndarray:
+    """Where each id begins in sorted ids."""
+    return np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+
+
+def id_border(scores: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
+    """Per row the k-th best score of different ids; columns are sorted by id, ids begin at ``starts``."""
+    best = scores if len(starts) == scores.shape[1] else np.maximum.reduceat(scores, starts, axis=1)
+    n = min(k, len(starts))
+    return -np.partition(-best, n - 1, axis=1)[:, n - 1]
+
+
 def _search(kind: str, dimension: int, k: int):
     """Chunks in rows (leaf, chunk, is_query, id, raw), sorted: vectors first, then queries."""
 
-    def answers(ids, vectors, query_ids, queries) -> Iterator[pa.RecordBatch]:
+    def answers(ids, starts, vectors, query_ids, queries) -> Iterator[pa.RecordBatch]:
         step = max(1, 4_000_000 // max(1, len(ids)))
         for start in range(0, len(queries), step):
             some, some_ids = queries[start : start + step], query_ids[start : start + step]
             scores = some @ vectors.T
             own = some_ids[:, None] == ids[None, :]
             scores[own] = -np.inf
-            n = min(k, len(ids))
-            border = -np.partition(-scores, n - 1, axis=1)[:, n - 1]
+            border = id_border(scores, starts, k)
             # Products of matrices may differ in the last bit between equal vectors: what comes
             # close to the border is computed again, row by row.
             near = scores >= (border - 1e-9 * (1 + np.abs(border)))[:, None]
@@ -220,8 +238,11 @@ def _search(kind: str, dimension: int, k: int):
                 if vectors is None:
                     vectors = np.frombuffer(b"".join(raws), dtype=kind).reshape(-1, dimension).astype(np.float64)
                     all_ids, raws = np.concatenate(ids), []
+                    order = np.argsort(all_ids, kind="stable")
+                    all_ids, vectors = all_ids[order], vectors[order]
+                    starts_of_ids = id_starts(all_ids)
                 queries = np.frombuffer(b"".join(raw[start:end]), dtype=kind).reshape(-1, dimension)
-                yield from answers(all_ids, vectors, row_id[start:end], queries.astype(np.float64))
+                yield from answers(all_ids, starts_of_ids, vectors, row_id[start:end], queries.astype(np.float64))
 
     return run
 

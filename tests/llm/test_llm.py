@@ -332,6 +332,19 @@ def test_tree_search_recall_and_ties(vectors):
     assert kmeans_tree.nearest(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [2, 30])
+def test_tree_search_with_every_row_repeated(spark, copies):
+    x = np.random.default_rng(6).normal(size=(60, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x) for _ in range(copies)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in kmeans_tree.nearest(frame, recall=1.0).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    for at in range(0, 60, 20):
+        true = [int(i) for i in np.argsort(-(x @ x[at])) if i != at][:20]
+        assert [got[at][rank] for rank in range(1, 21)] == true
+
+
 def test_top_products_are_exact(vectors, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 200)
     df, made = vectors
