@@ -8,7 +8,8 @@ and leaves are visited in the order they come out.
 
 How many leaves are visited is calibrated: ``CALIBRATION`` queries are compared with every row, and
 the visits are widened until these leaves hold ``RECALL`` of their true neighbours. In the worst case
-that is all leaves, and the search is exact.
+that is all leaves, and the search is exact. A query whose leaves hold too few different ids for k
+neighbours goes on to the next ones.
 
 A leaf is dealt in chunks of twice the mean leaf (65,536 rows at most) by a hash of the id, so that
 a leaf of many equal vectors is no single task. A chunk's vectors come first and its queries
@@ -97,13 +98,14 @@ class Tree:
             todo += [(child, rows[near == i]) for i, child in enumerate(self.children[node])]
         return out
 
-    def visit(self, query: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves, best bin first."""
-        queue, order = [(0.0, 0)], []
-        while queue and len(order) < most:
+    def visit(self, query: np.ndarray, most: int, ids: dict[int, int] | None = None, least: int = 0) -> list[int]:
+        """The first ``most`` leaves, best bin first, and more until they hold ``least`` of ``ids`` (by leaf)."""
+        queue, order, held = [(0.0, 0)], [], 0
+        while queue and (len(order) < most or held < least):
             _, node = heapq.heappop(queue)
             if node not in self._below:
                 order.append(self.leaf[node])
+                held += ids.get(self.leaf[node], 0) if ids else 0
                 continue
             for score, child in zip((self._below[node] @ query).tolist(), self.children[node]):
                 heapq.heappush(queue, (-score, child))
@@ -264,6 +266,9 @@ def nearest(
     mean = sum(sizes.values()) / max(1, len(sizes))
     chunk_rows = int(min(CHUNK_MOST, max(CHUNK_LEAST, 2 * mean)))
     chunks = [-(-sizes.get(leaf, 0) // chunk_rows) for leaf in range(tree.leaves)]
+    # an id that lies in several leaves counts in one of them
+    placed = index.groupBy("vec_id").agg(F.min("leaf").alias("leaf"))
+    ids_in = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}
     visits = calibrated_visits(index, tree, kind, dimension, every, k, recall)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +278,8 @@ def nearest(
                 out: tuple[list, ...] = ([], [], [], [])
                 part = batch.slice(start, 64)
                 for vec_id, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    for leaf in own.visit(np.frombuffer(raw, dtype=kind).astype(np.float64), visits):
+                    # k others and the query's own id
+                    for leaf in own.visit(np.frombuffer(raw, dtype=kind).astype(np.float64), visits, ids_in, k + 1):
                         for chunk in range(chunks[leaf]):
                             for column, value in zip(out, (leaf, chunk, vec_id, raw)):
                                 column.append(value)

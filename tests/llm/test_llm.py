@@ -345,6 +345,19 @@ def test_tree_search_with_every_row_repeated(spark, copies):
         assert [got[at][rank] for rank in range(1, 21)] == true
 
 
+def test_tree_search_fills_k_places_from_small_leaves(spark):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(12, 8)) * 50
+    made = [c + rng.normal(size=8) * 0.01 for c in centres for _ in range(100)]
+    for i in (0, 400, 800):  # lone outliers among the queries
+        made[i] = np.eye(8)[i // 400] * -1000.0
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(made)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in kmeans_tree.nearest(frame, recall=0.01).collect():  # one leaf by calibration
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert all(len(got.get(i, ())) == 20 for i in range(0, 1200, 20))
+
+
 def test_top_products_are_exact(vectors, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 200)
     df, made = vectors
