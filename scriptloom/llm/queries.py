@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptloom.llm import bpe, chat, html_text, huffman, kmeans_tree, labelled, mixing, quality
-from scriptloom.llm import simhash, topk, toxicity
+from scriptloom.llm import bpe, chat, hard_negatives, html_text, huffman, kmeans_tree, labelled, mixing
+from scriptloom.llm import quality, simhash, topk, toxicity, whitening
 from scriptloom.session import checkpoint_dir
 from scriptloom.sources.corpora import read_table
 
@@ -147,3 +147,42 @@ WITH ints AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op11_table_hard_negatives(spark, sf_dir):
+    vectors = read_table(spark, sf_dir, "embeddings")
+    label = F.when(vectors["vec_id"] % 7 == 0, (vectors["label"] + 1) % 10).otherwise(vectors["label"])
+    return hard_negatives.hard_negatives(vectors, label)
+
+
+ORACLES["op11_table_hard_negatives"] = """
+WITH ints AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+    FROM ints a JOIN ints c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
+@query
+def op13_lanczos_whitening(spark, sf_dir):
+    rows = whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+    parts = F.posexplode(F.arrays_zip("whitened", "explained")).alias("component", "part")
+    return rows.select("vec_id", "n", "deviation", "identity_error", parts).select(
+        "vec_id", (F.col("component") + 1).alias("component"), "n", "deviation", "part.whitened", "part.explained",
+        "identity_error",
+    )
