@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptloom.llm import bpe, chat, hard_negatives, html_text, huffman, kmeans_tree, labelled, mixing
-from scriptloom.llm import quality, simhash, topk, toxicity, whitening
+from scriptloom.llm import private_data, quality, simhash, topk, toxicity, whitening
 from scriptloom.session import checkpoint_dir
 from scriptloom.sources.corpora import read_table
 
@@ -186,3 +186,16 @@ def op13_lanczos_whitening(spark, sf_dir):
         "vec_id", (F.col("component") + 1).alias("component"), "n", "deviation", "part.whitened", "part.explained",
         "identity_error",
     )
+
+
+@query
+def op12_private_data(spark, sf_dir):
+    spans, base = F.col("spans"), F.filter("spans", lambda s: s["base"])
+    counts = [
+        F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+        for kind in private_data.KINDS
+    ]
+    return private_data.find(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", *counts, F.sha2(private_data.joined(base).cast("binary"), 256).alias("base_sha256"),
+        private_data.joined(spans).alias("spans"),
+    )
