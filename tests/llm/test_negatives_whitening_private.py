@@ -227,7 +227,7 @@ def test_patterns_match_brute_force():
 
 def test_spans_of_a_table(spark, field):
     rnd = random.Random(8)
-    texts = [None, "", "no data here", "call 007 (055) 555-0199 now", "a" * 200_000, "1" * 200_000, "x@" * 50_000]
+    texts = [None, "", "no data here", "call 007 (055) 555-0199 now", "a" * 5_000, "1" * 5_000, "x@" * 2_000]
     texts += ["".join(rnd.choices((*PARTS, " and ", "the "), k=40)) for _ in range(60)]
     rows = [(i, t, 1, "c") for i, t in enumerate(texts)] + [(3, texts[3], 1, "c"), (None, "m@x.org", 1, "c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, spans int, kind string").repartition(3)
