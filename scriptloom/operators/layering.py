@@ -1,20 +1,23 @@
 """Creation order of a dependency graph: objects in layers, each after all it depends on.
 
-One round keeps the edges whose dependency itself still has an edge, and settles the others:
-
-    alive(k+1) = alive(k) LEFT SEMI JOIN distinct sources of alive(k) ON dependency = source
-
-A node's layer is one more than the number of rounds its last edge lived through, so it is an
-aggregate over the settled edges, and rounds that settle nothing have met a cycle. A round is a
-pre-aggregated distinct and one join. While there are many edges one job runs one round and leaves
-the living ones in a table; once few are left a job runs several rounds, as starting jobs is then
-what costs. Nothing is collected but counts. The sources are broadcast only where the counted
-bytes of their keys are few; else the edges are shuffled by dependency.
-
-Hot dependencies. One object may be what a third of all edges point at. An edge to a dependency
-with more than a 1/1000 of the edges carries a salt taken from its source, and the few such
-dependencies (fewer than 1000, by that very rule, so the list is safe to broadcast) appear once
-per salt on the other side. Hot sources need nothing: the distinct combines before it shuffles.
+A node's layer is one more than the highest layer among its dependencies. Rounds start from the nodes
+that depend on nothing. Every round takes the nodes that were settled last, follows the edges that
+lead to them, and tells each source how many of its dependencies are settled now and how high they
+lie; a source with none left is settled in its turn. So every edge is followed once.
+
+Edges lie in buckets by dependency and nodes in buckets by key, so a round exchanges nothing but its
+own messages, added up before they leave a task, and writes the nodes that were still waiting. The
+driver gets counts only.
+
+Chains. An edge between a node with one dependency and a node with one dependent is a link; links form
+paths. Pointers along paths are followed ever further until they reach the path's first node. From
+then on the path is settled with that node, and its last node speaks in the same round. A chain of n
+objects takes about log n jobs, whatever hangs on it.
+
+Hot dependencies. One object may be what a third of all edges point at. A frequency sketch, taken
+while the edges are written, names the dependencies with more than about 1/1000 of all edges. They
+are fewer than ``HEAVY_MOST``, so what is known about them can be broadcast at any size; their edges are
+never dealt by dependency. Hot sources need nothing: messages are added up before the exchange.
 """
 
 from __future__ import annotations
@@ -27,13 +30,11 @@ from pyspark.sql import functions as F
 from scriptloom.functions.header import reference_id, resource_type
 from scriptloom.functions.references import METADATA_SCHEMA
 from scriptloom.functions.text import trim_edges
-from scriptloom.session import counted_stage, stage_table
+from scriptloom.session import bucketed_stage, counted_stage, stage_table
 
-# An edge count is worth salting from here on; below it one task takes a dependency's edges.
-HOT_EDGES = 1_000_000
-HOT_SHARE = 1000
-SALTS = 64
-ROUNDS_PER_JOB = 4
+HEAVY_MOST = 1000  # dependencies whose edges are kept apart, at most
+TRACKED = 20_000  # entries of the frequency sketch
+HOPS_PER_JOB = 3
 
 
 class LayeringError(ValueError):
@@ -86,18 +87,11 @@ def blank_nodes(nodes: DataFrame) -> DataFrame:
     return nodes.filter(_has_blank_id())
 
 
-def _raise_if_blank(nodes: DataFrame) -> None:
-    for row in blank_nodes(nodes).limit(1).collect():
-        if not (row["object_id"] or "").strip():
-            raise BlankIdError(f"object_id is empty (dataset_id={row['dataset_id']!r})")
-        raise BlankIdError(
-            f"dataset_id is empty or could not be derived (object_id={row['object_id']!r})"
-        )
-
-
-def _raise_if_duplicate(nodes: DataFrame) -> None:
-    for row in duplicate_nodes(nodes).limit(1).collect():
-        raise DuplicateObjectError(f"duplicate entry for {row['dataset_id']}.{row['object_id']}")
+def _raise_blank(nodes: DataFrame) -> None:
+    row = blank_nodes(nodes).first()
+    if not (row["object_id"] or "").strip():
+        raise BlankIdError(f"object_id is empty (dataset_id={row['dataset_id']!r})")
+    raise BlankIdError(f"dataset_id is empty or could not be derived (object_id={row['object_id']!r})")
 
 
 def _has_blank_id() -> Column:
@@ -106,11 +100,9 @@ def _has_blank_id() -> Column:
 
 def duplicate_nodes(nodes: DataFrame) -> DataFrame:
     """Objects listed more than once, with their number of entries."""
-    return (
-        nodes.groupBy("dataset_id", "object_id")
-        .agg(F.count(F.lit(1)).alias("entries"))
-        .filter(F.col("entries") > 1)
-    )
+    by = [name for name in ("key", "dataset_id", "object_id") if name in nodes.columns]
+    entries = nodes.groupBy(*by).agg(F.count(F.lit(1)).alias("entries"))
+    return entries.filter(F.col("entries") > 1).select("dataset_id", "object_id", "entries")
 
 
 def is_metadata(dataset: Column, obj: Column, object_type: Column) -> Column:
@@ -123,24 +115,71 @@ def is_metadata(dataset: Column, obj: Column, object_type: Column) -> Column:
 
 
 def candidate_edges(edges: DataFrame) -> DataFrame:
-    """Distinct ``(src, dep)`` keys without metadata dependencies and self-edges."""
+    """``(src, dep)`` keys without metadata dependencies and self-edges; repeats stay."""
     kept = edges.filter(
         ~is_metadata(F.col("dep_dataset"), F.col("dep_object"), F.col("dep_type"))
     ).select(
         node_key(F.col("src_dataset"), F.col("src_object")).alias("src"),
         node_key(F.col("dep_dataset"), F.col("dep_object")).alias("dep"),
     )
-    return kept.filter("src != dep").distinct()
+    return kept.filter("src != dep")
 
 
-def _node_keys(nodes: DataFrame) -> DataFrame:
-    return nodes.select(node_key(F.col("dataset_id"), F.col("object_id")).alias("dep"))
+@dataclass(frozen=True)
+class Edges:
+    """Different edges (src, dep): ``light`` in buckets by dependency, ``heavy`` those of the few
+    dependencies in ``names``, as they lie."""
+
+    light: DataFrame
+    heavy: DataFrame
+    names: DataFrame
+
+    def all(self) -> DataFrame:
+        return self.light.unionAll(self.heavy)
+
+    def to(self, nodes: DataFrame) -> DataFrame:
+        """The edges whose dependency is among ``nodes`` (key, layer), with that layer.
+
+        The nodes lie in buckets by key; of them, only those in ``names`` are broadcast.
+        """
+        few = nodes.join(F.broadcast(self.names), nodes["key"] == self.names["dep"], "left_semi")
+        return self.light.join(nodes, F.col("dep") == F.col("key")).unionAll(
+            self.heavy.join(F.broadcast(few), F.col("dep") == F.col("key"))
+        )
+
+
+def _keyed_nodes(nodes: DataFrame) -> DataFrame:
+    """The nodes with their ``key``, in buckets by it. Raises on blank ids."""
+    key = F.coalesce(node_key(F.col("dataset_id"), F.col("object_id")), F.lit(""))
+    keyed = _dealt(nodes.select(key.alias("key"), "dataset_id", "object_id", "object_type"), "key")
+    table, counts = bucketed_stage(keyed, "key", blank=F.count_if(_has_blank_id()))
+    if counts["blank"]:
+        _raise_blank(table)
+    return table
+
+
+def _dealt(df: DataFrame, key: str) -> DataFrame:
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def _managed(keys: DataFrame, edges: DataFrame, heavy_most: int = HEAVY_MOST) -> Edges:
+    """The candidate edges whose dependency is among ``keys`` (key)."""
+    sketch = F.expr(f"approx_top_k(dep, {heavy_most}, {TRACKED})")
+    candidates, counts = counted_stage(candidate_edges(edges), heavy=sketch)
+    least = counts["rows"] / heavy_most
+    names = [(item["item"],) for item in counts["heavy"] or [] if item["count"] > least]
+    names = edges.sparkSession.createDataFrame(names, "dep string")
+    known = keys.join(F.broadcast(names), F.col("key") == F.col("dep"), "left_semi")
+    heavy = candidates.join(F.broadcast(known), F.col("dep") == F.col("key"), "left_semi").distinct()
+    light = _dealt(candidates.join(F.broadcast(names), "dep", "left_anti").select("src", "dep"), "dep").distinct()
+    light = light.join(keys, F.col("dep") == F.col("key"), "left_semi")
+    return Edges(bucketed_stage(light, "dep")[0], stage_table(heavy), names)
 
 
 def managed_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """The candidate edges whose dependency is a node of the graph."""
-    candidates = candidate_edges(edges)
-    return candidates.join(_node_keys(nodes), "dep", "left_semi").select("src", "dep")
+    keys = nodes.select(node_key(F.col("dataset_id"), F.col("object_id")).alias("key")).distinct()
+    return _managed(keys, edges).all().select("src", "dep")
 
 
 def indegrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -154,109 +193,132 @@ def indegrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def compute_layers(nodes: DataFrame, edges: DataFrame, hot_edges: int = HOT_EDGES) -> Layering:
+def compute_layers(nodes: DataFrame, edges: DataFrame, heavy_most: int = HEAVY_MOST) -> Layering:
     """Layers of ``nodes(dataset_id, object_id, object_type)`` under
     ``edges(src_dataset, src_object, dep_dataset, dep_object, dep_type)``, from layer 1 on.
 
     Raises on blank ids, on an object listed twice, and on a cycle.
     """
-    nodes, counts = counted_stage(
-        nodes.select("dataset_id", "object_id", "object_type"), blank=F.count_if(_has_blank_id())
+    nodes = _keyed_nodes(nodes)
+    managed = _managed(nodes.select("key"), edges, heavy_most)
+    state, waiting = _first_state(nodes, managed)
+    paths, on_paths, jobs = _paths(managed, state)
+    ends = None
+    if paths is not None:
+        # the other nodes of a path are settled with its head
+        state = state.join(paths, F.col("key") == F.col("node"), "left_anti")
+        waiting -= on_paths
+        last = paths.groupBy("head").agg(F.max(F.struct("steps", "node")).alias("last"))
+        ends = stage_table(last.select("head", F.col("last.node").alias("node"), F.col("last.steps").alias("steps")))
+
+    settled = [state.filter("left = 0").select("key", "layer")]
+    while waiting:
+        state, counts = bucketed_stage(_round(state, managed, ends), "key", fresh=F.count_if(F.col("left") == 0))
+        jobs += 1
+        if not counts["fresh"]:
+            raise _cycle(state.select("key"), paths)
+        settled.append(state.filter("left = 0").select("key", "layer"))
+        waiting = counts["rows"] - counts["fresh"]
+    return Layering(stage_table(_layered(nodes, settled, paths)), jobs)
+
+
+def _first_state(nodes: DataFrame, edges: Edges) -> tuple[DataFrame, int]:
+    """key, the number of dependencies ``left`` to settle and the ``layer`` so far, in buckets by key;
+    the number of nodes that have to wait. Raises on an object listed twice."""
+    left = edges.all().groupBy("src").agg(F.count(F.lit(1)).alias("left"))
+    entries = nodes.groupBy("key").agg(F.count(F.lit(1)).alias("entries"))
+    first = entries.join(left, F.col("key") == F.col("src"), "left").select(
+        "key", F.coalesce("left", F.lit(0)).alias("left"), F.lit(1).cast("bigint").alias("layer"), "entries"
     )
-    if counts["blank"]:
-        _raise_if_blank(nodes)
-    _raise_if_duplicate(nodes)
-
-    candidates, counts = counted_stage(candidate_edges(edges))
-    hot = _hot_dependencies(candidates, counts["rows"], hot_edges)
-    known = _salted_keys(_node_keys(nodes), hot)
-    alive, counts = counted_stage(
-        _salted_edges(candidates, hot).join(known, ["dep", "salt"], "left_semi")
+    state, counts = bucketed_stage(
+        first, "key", waiting=F.count_if(F.col("left") > 0), repeated=F.count_if(F.col("entries") > 1)
     )
-    remaining = counts["rows"]
+    if counts["repeated"]:
+        row = duplicate_nodes(nodes).orderBy("dataset_id", "object_id").first()
+        raise DuplicateObjectError(f"duplicate entry for {row['dataset_id']}.{row['object_id']}")
+    return state.drop("entries"), counts["waiting"]
 
-    settled, rounds, jobs = [], 0, 0
-    while remaining > 0:
-        lives_on = F.col("lived") == ROUNDS_PER_JOB
-        marked, counts = counted_stage(
-            _marked(alive, hot, ROUNDS_PER_JOB), living=F.count_if(lives_on)
-        )
-        if counts["living"] == remaining:
-            raise _cycle(alive)
-        settled.append(
-            marked.filter(~lives_on).select("src", (F.col("lived") + rounds + 1).alias("round"))
+
+def _round(state: DataFrame, edges: Edges, ends: DataFrame | None) -> DataFrame:
+    """The nodes of ``state`` that wait, after all that were settled last have spoken."""
+    last = state.filter("left = 0").select("key", "layer")
+    if ends is not None:
+        behind = last.join(ends, F.col("key") == F.col("head")).select(
+            F.col("node").alias("key"), (F.col("layer") + F.col("steps")).alias("layer")
         )
-        alive = marked.filter(lives_on).drop("lived")
-        remaining = counts["living"]
-        rounds, jobs = rounds + ROUNDS_PER_JOB, jobs + 1
-
-    return Layering(stage_table(_layered(nodes, settled)), jobs)
-
-
-def _hot_dependencies(alive: DataFrame, total: int, hot_edges: int) -> DataFrame | None:
-    """Dependencies that get salts, or none. At most ``HOT_SHARE`` rows: each has more than a
-    ``1 / HOT_SHARE`` of all edges."""
-    threshold = max(total // HOT_SHARE, hot_edges)
-    if total <= threshold:
-        return None
-    return stage_table(
-        alive.groupBy("dep")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > threshold)
-        .select("dep", F.lit(SALTS).alias("_salts"))
+        last = last.unionAll(_dealt(behind, "key"))
+    messages = (
+        edges.to(last)
+        .groupBy("src")
+        .agg(F.count(F.lit(1)).alias("n"), (F.max("layer") + 1).alias("above"))
+    )
+    return state.filter("left > 0").join(messages, F.col("key") == F.col("src"), "left").select(
+        "key", (F.col("left") - F.coalesce("n", F.lit(0))).alias("left"), F.greatest("layer", "above").alias("layer")
     )
 
 
-def _salted_edges(edges: DataFrame, hot: DataFrame | None) -> DataFrame:
-    """Spread the edges of a hot dependency over its salts, by their source."""
-    if hot is None:
-        return edges.withColumn("salt", F.lit(0).cast("bigint"))
-    salt = F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64("src"), F.col("_salts")))
-    return edges.join(F.broadcast(hot), "dep", "left").select(
-        "src", "dep", F.coalesce(salt, F.lit(0)).cast("bigint").alias("salt")
-    )
+# --- paths ------------------------------------------------------------------------------------
+
 
+def _paths(edges: Edges, state: DataFrame) -> tuple[DataFrame | None, int, int]:
+    """(node, head, steps) of the nodes that follow another one on a path, in buckets by node; their
+    number; the number of jobs. None if there is no path.
 
-def _salted_keys(keys: DataFrame, hot: DataFrame | None) -> DataFrame:
-    """Repeat a hot dependency once per salt."""
-    if hot is None:
-        return keys.withColumn("salt", F.lit(0).cast("bigint"))
-    last = (F.coalesce("_salts", F.lit(1)) - 1).cast("bigint")
-    salts = F.sequence(F.lit(0).cast("bigint"), last)
-    return keys.join(F.broadcast(hot), "dep", "left").select(
-        "dep", F.explode(salts).alias("salt")
+    A path that closes upon itself has no head; its nodes stay out, and what remains is a cycle.
+    """
+    one_dependency = state.filter("left = 1").select("key")
+    count_and_source = (F.count(F.lit(1)).alias("n"), F.min("src").alias("src"))
+    one_dependent = (
+        edges.light.groupBy("dep").agg(*count_and_source)
+        .unionAll(edges.heavy.groupBy("dep").agg(*count_and_source))
+        .filter("n = 1")
+    )
+    links = one_dependent.join(one_dependency, F.col("src") == F.col("key")).select(
+        F.col("src").alias("node"), F.col("dep").alias("head"), F.lit(1).cast("bigint").alias("steps")
     )
+    links, counts = bucketed_stage(_dealt(links, "node"), "node")
+    total, jobs, reach = counts["rows"], 1, 1
+    if not total:
+        return None, 0, jobs
+    while True:
+        links, counts = bucketed_stage(_hops(links), "node", open=F.count_if("open"))
+        jobs, reach = jobs + 1, reach * (HOPS_PER_JOB + 1)
+        if not counts["open"]:
+            return links.drop("open"), total, jobs
+        if reach > total:
+            # no path is longer than all links together: what is still open runs in a circle
+            links, counts = bucketed_stage(links.filter("NOT open").drop("open"), "node")
+            return links, counts["rows"], jobs + 1
+        links = links.drop("open")
+
+
+def _hops(links: DataFrame) -> DataFrame:
+    """Pointers followed ``HOPS_PER_JOB`` times; ``open`` while the end was not seen."""
+    moved = links
+    further = links.select(F.col("node").alias("at"), F.col("head").alias("next"), F.col("steps").alias("more"))
+    for _ in range(HOPS_PER_JOB):
+        moved = moved.join(further, F.col("head") == F.col("at"), "left").select(
+            "node", F.coalesce("next", "head").alias("head"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+            F.col("at").isNotNull().alias("open"),
+        )
+    return _dealt(moved, "node")
 
 
-def _marked(alive: DataFrame, hot: DataFrame | None, steps: int) -> DataFrame:
-    """The edges with ``lived``: through how many of ``steps`` rounds they live.
+# --- results ----------------------------------------------------------------------------------
 
-    An edge lives through a round if its dependency is the source of an edge that got there.
-    """
-    marked = alive.withColumn("lived", F.lit(0))
-    for step in range(steps):
-        living = marked.filter(F.col("lived") == step)
-        sources = _salted_keys(living.select(F.col("src").alias("dep")).distinct(), hot)
-        sources = sources.withColumn("_source", F.lit(True))
-        lives = (F.col("lived") == step) & F.col("_source").isNotNull()
-        lived = F.when(lives, step + 1).otherwise(F.col("lived")).alias("lived")
-        marked = marked.join(sources, ["dep", "salt"], "left").select("src", "dep", "salt", lived)
-    return marked
-
-
-def _layered(nodes: DataFrame, settled: list[DataFrame]) -> DataFrame:
+
+def _layered(nodes: DataFrame, settled: list[DataFrame], paths: DataFrame | None) -> DataFrame:
     dataset, obj = F.col("dataset_id"), F.col("object_id")
-    layer = F.lit(1).cast("bigint")
-    keyed = nodes
-    if settled:
-        last = settled[0]
-        for part in settled[1:]:
-            last = last.unionAll(part)
-        last = last.groupBy("src").agg(F.max("round").alias("round"))
-        keyed = nodes.join(last, node_key(dataset, obj) == F.col("src"), "left")
-        layer = (F.coalesce("round", F.lit(0)) + 1).cast("bigint")
-    return keyed.select(
-        layer.alias("layer"),
+    known = settled[0]
+    for part in settled[1:]:
+        known = known.unionAll(part)
+    if paths is not None:
+        following = paths.join(known, F.col("head") == F.col("key")).select(
+            F.col("node").alias("key"), (F.col("layer") + F.col("steps")).alias("layer")
+        )
+        known = known.unionAll(following)
+    return nodes.join(known, "key").select(
+        "layer",
         "dataset_id",
         "object_id",
         "object_type",
@@ -265,9 +327,12 @@ def _layered(nodes: DataFrame, settled: list[DataFrame]) -> DataFrame:
     )
 
 
-def _cycle(alive: DataFrame) -> CyclicDependencyError:
+def _cycle(waiting: DataFrame, paths: DataFrame | None) -> CyclicDependencyError:
+    if paths is not None:
+        behind = paths.join(waiting, F.col("head") == F.col("key")).select(F.col("node").alias("key"))
+        waiting = waiting.unionAll(behind)
     remaining = (
-        alive.select(F.replace("src", F.lit("\0"), F.lit(".")).alias("reference_id"))
+        waiting.select(F.replace("key", F.lit("\0"), F.lit(".")).alias("reference_id"))
         .distinct()
         .orderBy("reference_id")
     )

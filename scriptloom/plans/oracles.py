@@ -498,6 +498,14 @@ def oracle_sql() -> dict[str, str]:
         "layers_turns": deepest(turns, corpora.TURN_EDGES_SQL),
         "layers_star": star,
         "layers_star_salted": star,
+        "layers_hot": f"""
+            SELECT {layer_columns} FROM (
+              SELECT 1 + row_number() OVER (PARTITION BY l_orderkey, l_linenumber - place ORDER BY l_linenumber)
+                AS layer, 'o' || l_orderkey AS dataset_id, 'l' || l_linenumber AS object_id, 'VIEW' AS object_type
+              FROM (SELECT l_orderkey, l_linenumber,
+                           row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS place
+                    FROM lineitem GROUP BY ALL) AS placed
+              UNION ALL SELECT 1, 'hub', 'hub', 'VIEW' FROM region WHERE r_regionkey = 0) AS layered""",
         "layer_depth": f"""
             SELECT CAST(max(layer) AS BIGINT) AS depth
             FROM ({deepest(turns, corpora.TURN_EDGES_SQL)}) AS layered""",

@@ -336,6 +336,7 @@ GRAPHS = {
     "chain": (corpora.CHAIN_NODES_SQL, corpora.CHAIN_EDGES_SQL),
     "turns": (corpora.TURN_NODES_SQL, corpora.TURN_EDGES_SQL),
     "star": (corpora.STAR_NODES_SQL, corpora.STAR_EDGES_SQL),
+    "hot": (corpora.HOT_NODES_SQL, corpora.HOT_EDGES_SQL),
 }
 
 
@@ -361,9 +362,15 @@ def layers_star(spark, sf_dir):
 
 @query
 def layers_star_salted(spark, sf_dir):
-    """The same layers with every dependency of more than 20 edges treated as hot."""
+    """The same layers with only the heaviest dependencies (above a twentieth of all edges) kept apart."""
     graph = _graph(spark, sf_dir, "star")
-    return layering.compute_layers(*graph, hot_edges=20).ordered()
+    return layering.compute_layers(*graph, heavy_most=20).ordered()
+
+
+@query
+def layers_hot(spark, sf_dir):
+    """One object is what more than a third of all edges point at."""
+    return layering.compute_layers(*_graph(spark, sf_dir, "hot")).ordered()
 
 
 @query

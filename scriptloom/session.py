@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -58,9 +58,30 @@ def stage_table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def counted_stage(df: DataFrame, **counts) -> tuple[DataFrame, dict[str, int]]:
+def counted_stage(df: DataFrame, **counts) -> tuple[DataFrame, dict]:
     """``stage_table`` with aggregates taken while the rows are written."""
+    observed, seen = _observed(df, counts)
+    return stage_table(observed), seen.get
+
+
+def bucketed_stage(df: DataFrame, key: str, **counts) -> tuple[DataFrame, dict]:
+    """``counted_stage`` with the rows in buckets by ``key``, as many as there are shuffle partitions.
+
+    Stages with buckets by the two sides of a join or by the key of an aggregate need no exchange.
+    Rows that come partitioned by ``key`` are written as they lie, one file for each bucket.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"stage_{uuid.uuid4().hex}"
+    observed, seen = _observed(df, counts)
+    writer = observed.write.bucketBy(buckets, key).option("path", f"{checkpoint_dir(spark)}/{name}")
+    writer.saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # only the name: the files of a table with a path stay
+    return table, seen.get
+
+
+def _observed(df: DataFrame, counts: dict[str, Column]) -> tuple[DataFrame, Observation]:
     seen = Observation()
     named = [column.alias(name) for name, column in counts.items()]
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *named)
-    return stage_table(observed), seen.get
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *named), seen

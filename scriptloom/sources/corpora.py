@@ -240,6 +240,24 @@ TURN_EDGES_SQL = """
     FROM conversations
 """
 
+# Every order line depends on one hub and on the line before it: more than a third of all edges have one end.
+HOT_NODES_SQL = """
+    SELECT DISTINCT concat('o', CAST(l_orderkey AS STRING)) AS dataset_id,
+           concat('l', CAST(l_linenumber AS STRING)) AS object_id, 'VIEW' AS object_type
+    FROM lineitem
+    UNION ALL SELECT 'hub', 'hub', 'VIEW' FROM region WHERE r_regionkey = 0
+"""
+HOT_EDGES_SQL = """
+    SELECT concat('o', CAST(l_orderkey AS STRING)) AS src_dataset,
+           concat('l', CAST(l_linenumber AS STRING)) AS src_object, 'hub' AS dep_dataset,
+           'hub' AS dep_object, 'VIEW' AS dep_type
+    FROM lineitem
+    UNION ALL
+    SELECT concat('o', CAST(l_orderkey AS STRING)), concat('l', CAST(l_linenumber AS STRING)),
+           concat('o', CAST(l_orderkey AS STRING)), concat('l', CAST(l_linenumber - 1 AS STRING)), 'VIEW'
+    FROM lineitem
+"""
+
 
 def _key(prefix: str, *columns: str) -> str:
     joined = ", '-', ".join(f"CAST({c} AS STRING)" for c in columns)

@@ -1,5 +1,7 @@
 """Layers, and the graphs that have none."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,13 +50,12 @@ def test_longest_path_and_repeats(spark):
         (1, "c.z", "VIEW"), (1, "d.a", "ROUTINE"), (2, "d.b", "ROUTINE"), (3, "d.c", "ROUTINE")]
 
 
-@pytest.mark.parametrize("hot_edges", [2, 10**6])
-def test_hub(spark, hot_edges):
-    """Everything points at one object, with salts and without."""
+def test_hub(spark):
+    """Everything points at one object."""
     f = "VIEW"
     objects = [("d", "hub", f, [("d", "root", f)]), ("d", "root", f, [])]
     objects += [("d", f"n{i}", f, [("d", "hub", f), ("d", "root", f)]) for i in range(300)]
-    got = layered(spark, *objects, hot_edges=hot_edges)
+    got = layered(spark, *objects)
     assert [r[0] for r in got] == [1, 2] + [3] * 300
 
 
@@ -66,6 +67,76 @@ def test_depth_beyond_one_job(spark):
     assert [(r[0], r[2]) for r in got] == [(i + 1, f"n{i}") for i in range(11)]
 
 
+def test_hot_dependency_and_its_plan(spark):
+    """A third of all edges on one object: kept apart by the sketch, never dealt by dependency."""
+    f = "VIEW"
+    objects = [("d", "hub", f, [("d", "n0", f)]), ("d", "n0", f, [])]
+    objects += [("d", f"n{i}", f, [("d", "hub", f), ("d", f"n{i // 2}", f), ("d", f"n{i // 3}", f)]) for i in range(1, 3000)]
+    nodes, edges = graph(spark, *objects)
+    keyed = layering._keyed_nodes(nodes)
+    managed = layering._managed(keyed.select("key"), edges, heavy_most=50)
+    assert [r["dep"] for r in managed.names.collect()] == ["d\0hub"]
+    assert managed.heavy.count() == 2999 and managed.light.filter("dep = 'd\0hub'").count() == 0
+    state, _ = layering._first_state(keyed, managed)
+    plan = layering._round(state, managed, None)._jdf.queryExecution().executedPlan().toString()
+    exchanged = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert exchanged and all("hashpartitioning(src" in line for line in exchanged)  # messages only
+    depth = {"n0": 1, "hub": 2}
+    for i in range(1, 3000):
+        depth[f"n{i}"] = 1 + max(2, depth[f"n{i // 2}"] if i > 1 else 1, depth[f"n{i // 3}"])
+    for heavy in (1, 50):
+        got = layering.compute_layers(nodes, edges, heavy_most=heavy).layers.collect()
+        assert {r["object_id"]: r["layer"] for r in got} == depth
+
+
+def brute_layers(objects):
+    known = {(d, o) for d, o, _, _ in objects}
+    needs = {(d, o): {r[:2] for r in refs if r[:2] in known and r[:2] != (d, o)} for d, o, _, refs in objects}
+    layer, turn = {}, 0
+    while ready := [k for k in needs if k not in layer and needs[k] <= layer.keys()]:
+        turn += 1
+        layer.update(dict.fromkeys(ready, turn))
+    return layer, sorted(".".join(k) for k in needs.keys() - layer.keys())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_graphs(spark, seed):
+    """Chains, hubs, repeats and (in half of the graphs) cycles, against peeling in plain Python."""
+    rnd, f = random.Random(seed), "VIEW"
+    n = 120
+    refs = {i: [] for i in range(n)}
+    for i in range(1, n):
+        if rnd.random() < 0.6:
+            refs[i].append(i - 1)  # stretches of chains
+        refs[i] += rnd.choices(range(i), k=rnd.choice((0, 0, 0, 1, 3)))
+    if seed % 2:
+        for i in rnd.sample(range(n - 20), 2):
+            refs[i].append(i + rnd.randint(1, 15))
+    if seed == 3:
+        refs |= {n: [n + 2], n + 1: [n], n + 2: [n + 1]}  # links that run in a circle
+    objects = [(f"d{i % 3}", f"n{i}", f, [(f"d{r % 3}", f"n{r}", f) for r in found]) for i, found in refs.items()]
+    layer, left = brute_layers(objects)
+    nodes, edges = graph(spark, *objects)
+    if left:
+        with pytest.raises(layering.CyclicDependencyError) as error:
+            layering.compute_layers(nodes, edges)
+        assert [r[0] for r in error.value.remaining.collect()] == left
+    else:
+        got = layering.compute_layers(nodes, edges).layers.collect()
+        assert {(r["dataset_id"], r["object_id"]): r["layer"] for r in got} == layer
+
+
+def test_long_chain_takes_few_jobs(spark):
+    """A chain of 700 with a tail of branches: the logarithm of its length, not its length."""
+    f = "VIEW"
+    objects = [("d", f"n{i}", f, [("d", f"n{i - 1}", f)] if i else []) for i in range(700)]
+    objects += [("d", f"b{i}", f, [("d", "n699", f), ("d", "n3", f)]) for i in range(3)]
+    result = layering.compute_layers(*graph(spark, *objects))
+    want = {f"n{i}": i + 1 for i in range(700)} | {f"b{i}": 701 for i in range(3)}
+    assert {r["object_id"]: r["layer"] for r in result.layers.collect()} == want
+    assert result.jobs <= 10
+
+
 def test_cycle(spark):
     f = "SCALAR_FUNCTION"
     nodes, edges = graph(
