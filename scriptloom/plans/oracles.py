@@ -504,7 +504,7 @@ def oracle_sql() -> dict[str, str]:
                 AS layer, 'o' || l_orderkey AS dataset_id, 'l' || l_linenumber AS object_id, 'VIEW' AS object_type
               FROM (SELECT l_orderkey, l_linenumber,
                            row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS place
-                    FROM lineitem GROUP BY ALL) AS placed
+                    FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) AS lines) AS placed
               UNION ALL SELECT 1, 'hub', 'hub', 'VIEW' FROM region WHERE r_regionkey = 0) AS layered""",
         "layer_depth": f"""
             SELECT CAST(max(layer) AS BIGINT) AS depth
