@@ -41,7 +41,9 @@ from scriptloom.llm.bpe import PLAIN
 from scriptloom.session import stage_table
 
 MAX_BITS = 20
-KNOWN = 2_000_000  # words and chunks whose ids a worker keeps
+HELD_BYTES = 32 << 20  # words and chunks whose ids a worker keeps, twice
+ENTRY_BYTES = 190  # what an entry takes besides its letters and ids
+LONGEST_WORD = 200
 STEP = 256
 BLOCK_IDS = 1 << 17  # a block is closed by the document that reaches this many ids
 BLOCKS = (
@@ -58,10 +60,14 @@ class LibraryEncoder:
 
     In a vocabulary with word ends the words of a text do not affect each other. The library is
     given each different word of plain texts once, many in one text, and its result is cut behind
-    the ids that end a word. Every other text is given to it as a whole.
+    the ids that end a word. Every other text, and every text with a very long word, is given to it
+    as a whole.
+
+    Words that were met lately are kept in two tables of ``HELD_BYTES`` each: a full one becomes the
+    older one, and what is found there moves back to the newer one.
     """
 
-    def __init__(self, path: str, kind: str = "<u4"):
+    def __init__(self, path: str, kind: str = "<u4", held_bytes: int = HELD_BYTES):
         self.library = Tokenizer.from_file(path)
         self.kind = np.dtype(kind)
         with open(path, encoding="utf-8") as file:
@@ -75,56 +81,74 @@ class LibraryEncoder:
             self.ends = np.array(
                 [(self.library.id_to_token(i) or "").endswith(suffix) for i in range(size)]
             )
-        self.chunks: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        self.held_bytes, self.bytes = held_bytes, 0
+        self.table: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.kind) for e in coded]
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Put the ids of new words, then those of the chunks made of them, into the tables."""
-        cut = [self.words.findall(chunk) for chunk in chunks]
-        known = self.known
-        new = list({w for words in cut for w in words if w not in known})
+    def _keep(self, word: str, ids: bytes) -> bytes:
+        self.table[word] = ids
+        self.bytes += ENTRY_BYTES + 2 * len(word) + len(ids)
+        return ids
+
+    def _known(self, word: str) -> bytes | None:
+        ids = self.table.get(word)
+        if ids is None and word in self.older:
+            ids = self._keep(word, self.older.pop(word))
+        return ids
+
+    def _learn(self, chunks: list[str]) -> bool:
+        """Put the ids of chunks and of the words they are made of into the table.
+
+        False if the library's result cannot be cut at the words: then only whole texts are right.
+        """
+        cut = [(chunk, self.words.findall(chunk)) for chunk in chunks if self._known(chunk) is None]
+        new = list({w for _, words in cut for w in words if self._known(w) is None})
         for start in range(0, len(new), 1000):
             some = new[start : start + 1000]
             ids = self._ids([" ".join(some)])[0]
             bounds = (np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize
             if len(bounds) != len(some):
-                raise AssertionError("a word was cut in two")
+                return False
             raw, at = ids.tobytes(), 0
             for word, end in zip(some, bounds.tolist()):
-                known[word] = raw[at:end]
+                self._keep(word, raw[at:end])
                 at = end
-        for chunk, words in zip(chunks, cut):
-            self.chunks[chunk] = b"".join([known[w] for w in words])
+        for chunk, words in cut:
+            if len(words) != 1 or words[0] != chunk:
+                self._keep(chunk, b"".join([self.table[w] for w in words]))
+        return True
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        if len(self.known) + len(self.chunks) > KNOWN:
-            self.known.clear()
-            self.chunks.clear()
+        if self.bytes > self.held_bytes:
+            self.table, self.older, self.bytes = {}, self.table, 0
         rest, open_texts, new = [], [], set()
-        look_up = self.chunks.get
+        look_up = self.table.get
         for i, text in enumerate(texts):
             if not text:
                 continue
             if self.by_word and "<|" not in text and PLAIN.fullmatch(text):
                 words = text.lower().split()
                 found = list(map(look_up, words))
-                if None in found:
-                    new.update(w for w, ids in zip(words, found) if ids is None)
-                    open_texts.append((i, words, found))
-                else:
+                if None not in found:
                     out[i] = b"".join(found)
-            else:
-                rest.append(i)
-        if new:
-            self._learn(list(new))
-        chunks = self.chunks
+                    continue
+                missing = {w for w, ids in zip(words, found) if ids is None}
+                if max(map(len, missing)) <= LONGEST_WORD:
+                    new |= missing
+                    open_texts.append((i, words, found))
+                    continue
+            rest.append(i)
+        if new and not self._learn(list(new)):
+            rest += [i for i, _, _ in open_texts]
+            open_texts = []
+        table = self.table
         for i, words, found in open_texts:
-            out[i] = b"".join([chunks[w] if ids is None else ids for w, ids in zip(words, found)])
+            out[i] = b"".join([table[w] if ids is None else ids for w, ids in zip(words, found)])
         if rest:
             for i, ids in zip(rest, self._ids([texts[i] for i in rest])):
                 out[i] = ids.tobytes()
