@@ -58,5 +58,29 @@ BODY_TOKEN = (
     rf"|{BARE}|[();]|{OTHER}|\z)"
 )
 
+
+
+def one_of(words: tuple[str, ...]) -> str:
+    """A pattern for any of ``words`` in any case, branching letter by letter."""
+    by_first: dict[str, list[str]] = {}
+    for word in words:
+        if word:
+            by_first.setdefault(word[0], []).append(word[1:])
+    branches = [letter + one_of(tuple(rest)) for letter, rest in sorted(by_first.items())]
+    tail = "(?:" + "|".join(branches) + ")" if len(branches) != 1 else branches[0]
+    return (f"(?:{tail})?+" if "" in words else tail) if branches else ""
+
+
+def name_token(clause_words: tuple[str, ...]) -> str:
+    """``BODY_TOKEN`` where four or more idle words in a row are one token.
+
+    An idle word is bare, none of ``clause_words``, and no part of a dotted name. Whatever was announced
+    before them, after four of them nothing is: a relation, its alias, the end of the list.
+    """
+    idle = rf"(?!(?i:{one_of(clause_words)})(?![A-Za-z0-9_-])){BARE}(?!{GAP}\.)"
+    run = rf"{idle}(?:{GAP}{idle}){{3,}}+"
+    return BODY_TOKEN.replace(rf"({STRING}|", rf"({STRING}|{run}|", 1)
+
+
 # The parts of one name token; comments between the parts give empty matches.
 NAME_PART = rf"(`[^`]*+`|{BARE})|{LINE_COMMENT}|{BLOCK_COMMENT}"

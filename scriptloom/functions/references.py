@@ -46,8 +46,10 @@ SETTLED, NAMED, AS_READ, ALIASED = 0, 1, 2, 3
 # Token classes. The quiet ones change nothing where no alias is pending.
 (GAP, SIGN, COMMA, LOOSE_COMMA, W_PASSING, W_AS, QUOTE, OPEN, CLOSE, SEMICOLON, NAME, NAME_CALL,
  NAME_DOT, JOINED, JOINED_CALL, JOINED_DOT, SINGLE_DOT, SINGLE_QUOTED, W_EXTRACT, W_FROM, W_JOIN,
- W_TABLE, W_CALL, W_CLOSING, W_OTHER) = range(25)
+ W_TABLE, W_CALL, W_CLOSING, W_OTHER, IDLE_RUN) = range(26)
 LAST_QUIET = QUOTE
+NAME_TOKEN = lexis.name_token(CLAUSE_WORDS)
+_RUN = rf"\A{lexis.BARE}{lexis.GAP}[A-Za-z_]"
 
 # Kept names are appended to a short list that is flushed at this length: appending copies the
 # list, so one long list would cost the square of the number of names.
@@ -62,9 +64,14 @@ def body_tokens(body: Column) -> Column:
     return F.regexp_extract_all(body, F.lit(lexis.BODY_TOKEN), F.lit(1))
 
 
-def body_pieces(body: Column) -> Column:
+def name_tokens(body: Column) -> Column:
+    """The tokens that names are looked for in: those of ``body_tokens``, runs of idle words as one."""
+    return F.regexp_extract_all(body, F.lit(NAME_TOKEN), F.lit(1))
+
+
+def name_pieces(body: Column) -> Column:
     """The same tokens, each with the gap before it: joined together they are the body."""
-    return F.regexp_extract_all(body, F.lit(lexis.BODY_TOKEN), F.lit(0))
+    return F.regexp_extract_all(body, F.lit(NAME_TOKEN), F.lit(0))
 
 
 def _token_class(token: Column) -> Column:
@@ -80,9 +87,10 @@ def _token_class(token: Column) -> Column:
     single_dot = token.rlike(rf"\A{lexis.FIRST_PART}{lexis.GAP}\.\z")
     return (
         F.when(token == "", GAP)
+        .when(bare & dotted & token.rlike(_RUN), IDLE_RUN)  # the dots are in comments
         .when(
             bare & ~dotted,
-            F.when(~word.isin(*CLAUSE_WORDS), W_OTHER)
+            F.when(~word.isin(*CLAUSE_WORDS), F.when(token.rlike(_RUN), IDLE_RUN).otherwise(W_OTHER))
             .when(word == "AS", W_AS)
             .when(word == "FROM", W_FROM)
             .when(word.isin(*PASSING_WORDS), W_PASSING)
@@ -219,7 +227,7 @@ def kept_names(tokens: Column) -> Column:
 
         quiet = (alias == SETTLED) & (
             ((cls <= LAST_QUIET) & ~acc["extract"])
-            | ((cls == W_OTHER) & (acc["role"] == NOTHING) & ~acc["extract"])
+            | ((cls >= W_OTHER) & (acc["role"] == NOTHING) & ~acc["extract"])
         )
         # Past here a relation was just read: does the token belong to its alias?
         is_word = (cls >= W_EXTRACT) | cls.isin(W_PASSING, W_AS)
@@ -239,6 +247,7 @@ def kept_names(tokens: Column) -> Column:
         unread = announced(F.lit(NOTHING))
         return (
             F.when(quiet, acc)
+            .when(cls == IDLE_RUN, put(role=NOTHING, alias=SETTLED, extract=False))
             .when(alias == SETTLED, announced(acc["role"]))
             .when(cls == COMMA, put(alias=SETTLED))
             .when(alias == ALIASED, unread)

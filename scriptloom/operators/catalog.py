@@ -357,7 +357,7 @@ def catalog_rows(
     return with_each(accepted, _group_columns()).select(*results)
 
 
-REJECT_COLUMNS = ("script_id", "reason", "offset", "line")
+REJECT_COLUMNS = ("script_id", "reason", "offset", "line", "column")
 _AFTER_HEADER = ("bad character or open quote", "malformed header", "no body", "unclosed body")
 
 
@@ -366,8 +366,13 @@ def _place_columns() -> list[tuple[str, Column]]:
     """Where reading stopped, for rows with a ``reason``; null for those without."""
     reason, written = F.col("reason"), F.coalesce(F.col("sql"), F.lit(""))
     named = F.regexp_extract("_header", headers.CREATE_KIND, 0)
+    # a body's first sign: the paren, quote or BEGIN that is not closed, or where it is missing
+    after_as = F.substring(F.col("_tail"), F.lit(3), F.length("_tail"))
+    gap = F.length(after_as) - F.length(F.ltrim(after_as, F.lit(" \t\n\r")))
+    body_at = F.length("_header") + F.when(F.col("_ender") == "AS", 2 + gap).otherwise(0)
     at = (
         F.when(reason == "empty script", 0)
+        .when(reason.isin("no body", "unclosed body"), body_at)
         .when(reason.isin(*_AFTER_HEADER), F.length("_header"))
         .when(reason == "no object name", F.length(named))
         .when(reason.isNotNull(), F.length(F.regexp_extract("_header", headers.LEADING_GAP, 0)))
@@ -376,18 +381,21 @@ def _place_columns() -> list[tuple[str, Column]]:
     before = F.when(F.col("_sql") == "", 0).otherwise(F.instr(written, F.col("_sql")) - 1)
     passed = F.substring(written, F.lit(1), F.col("offset"))
     line_ends = F.length(passed) - F.length(F.replace(passed, F.lit("\n"), F.lit("")))
+    in_line = F.length(F.substring_index(passed, "\n", -1))
     return [
         ("offset", (before + at).cast("bigint")),
         ("line", (line_ends + 1).cast("bigint")),
+        ("column", (in_line + 1).cast("bigint")),
     ]
 
 
 def rejects(scripts: DataFrame, family: str | None = None) -> DataFrame:
-    """``script_id``, ``reason``, ``offset`` and ``line`` of the scripts that ``catalog`` leaves out.
+    """``script_id``, ``reason``, ``offset``, ``line`` and ``column`` of the scripts that ``catalog`` leaves out.
 
-    ``offset`` counts the characters before the place where reading stopped, ``line`` is its line
-    from 1. The place is the sign that fits nowhere, the end of the header for what is wrong in it
-    or after it, the end of the kind where the name is missing, else the statement's first word.
+    ``offset`` counts the characters before the place where reading stopped, ``line`` and ``column`` are
+    its own from 1. The place is the sign that fits nowhere, the first sign of a body that is not closed
+    or where a body is missing, the end of the header for what is wrong in it, the end of the kind where
+    the name is missing, else the statement's first word.
     """
     checked = _staged(scripts).withColumn("reason", _reason(family))
     kept = keep_where(checked, F.col("reason").isNotNull())
@@ -403,7 +411,7 @@ def checked_rows(
 ) -> DataFrame:
     """Accepted and rejected scripts in one pass, for a stage table that is split afterwards.
 
-    The columns of ``catalog_rows`` with ``reason``, ``offset`` and ``line``. A rejected script has
+    The columns of ``catalog_rows`` with ``reason`` and its place. A rejected script has
     only these and its id; an accepted one has nulls in them.
     """
     checked = _staged(scripts).withColumn("reason", _reason(family))

@@ -18,7 +18,7 @@ def _name_columns() -> list[tuple[str, Column]]:
         F.col("body").isNotNull(), F.array().cast("array<string>")
     )
     return [
-        ("_tokens", refs.body_tokens(F.col("body"))),
+        ("_tokens", refs.name_tokens(F.col("body"))),
         ("_names", refs.located(refs.kept_names(searched))),
     ]
 
@@ -38,7 +38,7 @@ def _rewrite_columns() -> list[tuple[str, Column]]:
         F.col("_pieces"), F.col("_tokens"), F.col("_names"), F.col("dataset_id"), F.col("_project")
     )
     return [
-        ("_pieces", F.when(F.col("_rewrite"), refs.body_pieces(F.col("body")))),
+        ("_pieces", F.when(F.col("_rewrite"), refs.name_pieces(F.col("body")))),
         ("body", F.when(F.col("_rewrite"), rewritten).otherwise(F.col("body"))),
     ]
 

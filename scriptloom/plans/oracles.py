@@ -25,13 +25,15 @@ _KIND = """CASE WHEN shape IN (0, 7) THEN 'VIEW' WHEN shape IN (1, 8) THEN 'MATE
 _REASON = """CASE WHEN shape = 6 THEN 'temporary object' WHEN m3 = 2 THEN 'unclosed body'
     ELSE 'malformed header' END"""
 
-# Where reading stopped: at the statement, or at the end of the header. Shape 10 has one line.
+# Where reading stopped: at the statement, at the end of the header, or at the open paren on line 2.
 _OFFSET = """CASE WHEN shape = 6 THEN 0 ELSE length('CREATE TABLE FUNCTION ds' || ds || '.v' || k
     || '(n INT64) ') + CASE m3 WHEN 0 THEN length('DETERMINISTIC ') WHEN 1 THEN length('; SELECT 1')
-    ELSE 0 END END"""
+    ELSE length('AS') + 1 + length('  ') END END"""
+_SECOND_LINE = "shape = 10 AND m3 = 2"
 _REJECTED = (
     f"CAST(k AS STRING) AS script_id, {_REASON} AS reason, CAST({_OFFSET} AS BIGINT) AS \"offset\","
-    " CAST(1 AS BIGINT) AS line"
+    f" CAST(CASE WHEN {_SECOND_LINE} THEN 2 ELSE 1 END AS BIGINT) AS line,"
+    f" CAST(CASE WHEN {_SECOND_LINE} THEN 3 ELSE {_OFFSET} + 1 END AS BIGINT) AS \"column\""
 )
 
 
@@ -333,6 +335,16 @@ def oracle_sql() -> dict[str, str]:
         " || ' AS SELECT ' || chr(39) || n_name || chr(39) || chr(10) AS sql FROM nation",
         "rejects": _select(_REJECTED, "shape IN (6, 10)"),
         "lineage_rejects": _select(_REJECTED, "shape IN (6, 10)"),
+        "order_rejects": _select(_REJECTED, "shape IN (6, 10)"),
+        "followed_rejects": _select(_REJECTED, "shape IN (6, 10)"),
+        "followed_objects": _select(
+            f"{_ID}, {_KIND} AS kind, 'ds' || ds AS dataset_id, 'v' || k AS object_id", _OK
+        ),
+        "repeated_scripts": "SELECT CAST(conv_id AS STRING) AS script_id, count(*) AS entries"
+        " FROM conversations GROUP BY conv_id HAVING count(*) > 1",
+        "creation_stages_again": f"""
+            SELECT reference_id, layer, CASE WHEN layer % 2 = 0 THEN 2 ELSE 1 END AS run
+            FROM ({script_layers}) AS layered""",
         "blank_ids": "SELECT concat('d', c_custkey::VARCHAR) AS dataset_id, CASE c_custkey % 4"
         " WHEN 0 THEN chr(9) WHEN 1 THEN ' ' || chr(10) ELSE chr(12288) END AS object_id"
         " FROM customer WHERE c_custkey % 4 <> 2",
@@ -343,7 +355,8 @@ def oracle_sql() -> dict[str, str]:
             # shape 0 begins with a comment line
             f" CAST(CASE WHEN shape = 0 THEN length('-- view ' || k) + 1 WHEN {_VIEWS} THEN 0"
             f" ELSE {_OFFSET} END AS BIGINT) AS \"offset\","
-            " CAST(CASE WHEN shape = 0 THEN 2 ELSE 1 END AS BIGINT) AS line",
+            f" CAST(CASE WHEN shape = 0 OR {_SECOND_LINE} THEN 2 ELSE 1 END AS BIGINT) AS line,"
+            f" CAST(CASE WHEN {_VIEWS} THEN 1 WHEN {_SECOND_LINE} THEN 3 ELSE {_OFFSET} + 1 END AS BIGINT) AS \"column\"",
             f"shape IN (6, 10) OR {_VIEWS}",
         ),
         "accepted_views": _select(

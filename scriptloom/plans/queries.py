@@ -15,8 +15,9 @@ from scriptloom.operators import catalog as cat
 from scriptloom.operators import children, layering, outputs
 from scriptloom.operators import references as ref_ops
 from scriptloom.plans.lineage import creation_order, lineage
-from scriptloom.sources import corpora, scripts
 from scriptloom.session import checkpoint_dir, stage_table
+from scriptloom.sources import corpora, scripts
+from scriptloom.streaming import catalogs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -480,3 +481,48 @@ def creation_stages(spark, sf_dir):
 @query
 def access_grants(spark, sf_dir):
     return outputs.grants(ref_ops.reference_rows(_rows(spark, sf_dir)))
+
+
+@query
+def creation_stages_again(spark, sf_dir):
+    """Every second layer written again over the stages of the first one alone."""
+    result = creation_order(corpora.order_scripts(spark, sf_dir))
+    staged = result.layering.layers.select("layer", "dataset_id", "object_id", "reference_id")
+    path = f"{checkpoint_dir(spark)}/stages-{uuid.uuid4().hex}"
+    outputs.write_stages(staged.withColumn("run", F.lit(1)), path)
+    outputs.write_stages(staged.where("layer % 2 = 0").withColumn("run", F.lit(2)), path, partial=True)
+    return spark.read.parquet(path).select("reference_id", F.col("layer").cast("bigint").alias("layer"), "run")
+
+
+@query
+def order_rejects(spark, sf_dir):
+    """Scripts that the creation order leaves out, as it returns them."""
+    return creation_order(corpora.order_scripts(spark, sf_dir)).rejects
+
+
+@query
+def repeated_scripts(spark, sf_dir):
+    """Conversations taken for scripts, one row per turn."""
+    turns = corpora.read_table(spark, sf_dir, "conversations")
+    return scripts.repeated_ids(scripts.as_scripts(turns, "conv_id", "text"))
+
+
+def _followed(spark, sf_dir):
+    """The corpus as a stream of files, each script twice, taken in by several batches."""
+    corpus = corpora.order_scripts(spark, sf_dir)
+    folder = f"{checkpoint_dir(spark)}/followed-{uuid.uuid4().hex}"
+    corpus.repartition(4).write.parquet(f"{folder}/in")
+    corpus.repartition(4).write.mode("append").parquet(f"{folder}/in")
+    files = spark.readStream.schema(corpus.schema).option("maxFilesPerTrigger", 3).parquet(f"{folder}/in")
+    catalogs.follow(files, f"{folder}/out", f"{folder}/state", once=True).awaitTermination()
+    return catalogs.followed(spark, f"{folder}/out")
+
+
+@query
+def followed_objects(spark, sf_dir):
+    return _followed(spark, sf_dir)[0].select("script_id", "kind", "dataset_id", "object_id")
+
+
+@query
+def followed_rejects(spark, sf_dir):
+    return _followed(spark, sf_dir)[1]

@@ -1,5 +0,0 @@
-"""The text jobs are projections and run on a stream as they are; see ``stream_scripts``."""
-
-from scriptloom.sources.scripts import stream_scripts
-
-__all__ = ["stream_scripts"]

@@ -346,21 +346,27 @@ def test_reject_places(make_scripts):
         "hash": (lead + BROKEN["hash"][0], lead + "CREATE FUNCTION "),
         "select": (lead + "-- c\nSELECT 1", lead + "-- c\n"),
         "no_name": (BROKEN["no_name"][0], "CREATE FUNCTION"),
-        "open_paren": (BROKEN["open_paren"][0], "CREATE TABLE FUNCTION ds.p()\n"),
+        "open_paren": (BROKEN["open_paren"][0], BROKEN["open_paren"][0].split("(\n")[0]),
+        "open_body": ("CREATE VIEW d.v\nAS\n \t(SELECT (1)", "CREATE VIEW d.v\nAS\n \t"),
+        "open_quote": ("CREATE FUNCTION d.f()\nLANGUAGE js AS  r\'\'\'x", "CREATE FUNCTION d.f()\nLANGUAGE js AS  "),
+        "open_block": ("CREATE PROCEDURE d.p()\n  BEGIN\nSELECT 1;", "CREATE PROCEDURE d.p()\n  "),
+        "no_body": ("CREATE VIEW d.v\n AS \n ", "CREATE VIEW d.v\n AS"),
         "empty": (" \n ", ""),
         "null": (None, ""),
     }
     got = {
-        r["script_id"]: (r["offset"], r["line"])
+        r["script_id"]: (r["offset"], r["line"], r["column"])
         for r in cat.rejects(make_scripts({k: sql for k, (sql, _) in cases.items()})).collect()
     }
-    assert got == {k: (len(read), read.count("\n") + 1) for k, (_, read) in cases.items()}
+    assert got == {
+        k: (len(read), read.count("\n") + 1, len(read.split("\n")[-1]) + 1) for k, (_, read) in cases.items()
+    }
 
 
 def test_one_pass_has_both(make_scripts):
     scripts = make_scripts({"view": VIEW, "bad": BROKEN["hash"][0], "tf": TABLE_FUNCTION})
     checked = cat.checked_rows(scripts)
-    accepted = checked.where("reason IS NULL").drop("reason", "offset", "line")
+    accepted = checked.where("reason IS NULL").drop(*cat.REJECT_COLUMNS[1:])
     assert sorted(map(str, accepted.collect())) == sorted(map(str, cat.catalog(scripts).collect()))
     rejected = checked.where("reason IS NOT NULL").select(*cat.REJECT_COLUMNS)
     assert rejected.collect() == cat.rejects(scripts).collect()

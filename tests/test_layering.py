@@ -230,3 +230,35 @@ def test_files_of_one_name_stay_apart(spark, tmp_path):
     alone = load_scripts(spark, f"{tmp_path}/c/x.sql").collect()
     assert [r["script_id"] for r in alone] == ["x"]
     assert [r["script_id"] for r in load_scripts(spark, f"file://{tmp_path}/c").collect()] == ["x"]
+
+
+def staged_rows(spark, layers):
+    rows = [(layer, f"d.{name}", name) for layer, name in layers]
+    return spark.createDataFrame(rows, "layer long, reference_id string, script_id string")
+
+
+def read_back(spark, path):
+    return sorted((r["layer"], r["script_id"]) for r in spark.read.parquet(path).collect())
+
+
+def test_stages_are_replaced_layer_by_layer(spark, tmp_path):
+    path = str(tmp_path / "stages")
+    outputs.write_stages(staged_rows(spark, [(1, "a"), (2, "b"), (2, "c"), (3, "z")]), path)
+    outputs.write_stages(staged_rows(spark, [(2, "d")]), path, partial=True)
+    assert read_back(spark, path) == [(1, "a"), (2, "d"), (3, "z")]
+    fails = staged_rows(spark, [(1, "x"), (2, "y")]).withColumn(
+        "script_id", F.when(F.col("layer") == 2, F.raise_error(F.lit("no"))).otherwise(F.col("script_id"))
+    )
+    with pytest.raises(Exception, match="no"):
+        outputs.write_stages(fails, path)
+    assert read_back(spark, path) == [(1, "a"), (2, "d"), (3, "z")]
+    outputs.write_stages(staged_rows(spark, [(1, "a"), (2, "b")]), path)
+    assert read_back(spark, path) == [(1, "a"), (2, "b")]
+
+
+def test_repeated_script_ids_and_rejects_come_with_the_order(spark):
+    rows = [("a", "CREATE VIEW d.a AS SELECT 1"), ("b", "CREATE VIEW d.b AS SELECT x FROM d.a"), ("b", "DROP"), ("b", "")]
+    result = creation_order(spark.createDataFrame(rows, "script_id string, sql string"))
+    assert [tuple(r) for r in result.repeated.collect()] == [("b", 3)]
+    assert sorted(r["script_id"] for r in result.rejects.collect()) == ["b", "b"]
+    assert [r["object_id"] for r in result.ordered().collect()] == ["a", "b"]

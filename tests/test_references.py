@@ -145,10 +145,33 @@ def test_pieces_tile_the_body(spark):
     rng = random.Random(11)
     bodies = [random_body(rng) for _ in range(500)] + ["", " ", "`", "'", "/*", "--", "a."]
     df = spark.createDataFrame([(b,) for b in bodies], "body string")
-    joined = df.select("body", F.array_join(refs.body_pieces(F.col("body")), "").alias("again"))
+    joined = df.select("body", F.array_join(refs.name_pieces(F.col("body")), "").alias("again"))
     assert joined.filter("body != again").count() == 0
 
 
+IDLE = ("idle", "of", "heat", "x_1", "from1", "selects", "on-line", "-- note d.e\n", "/* f.g( */")
+
+
+def test_runs_of_idle_words_change_no_name(spark):
+    """Names found in single tokens and in tokens with runs of idle words taken together."""
+    rng = random.Random(12)
+    bodies = []
+    for _ in range(400):
+        pieces = [random_body(rng)]
+        for _ in range(rng.randint(1, 8)):
+            words = rng.choices(IDLE, k=rng.randint(1, 9))
+            more = rng.choice(("FROM", "from a.b", "JOIN a.b AS", ", a.b c", "EXTRACT(", "a.b(", "INTO", ".", "(", ")", "Ü", "CALL"))
+            pieces.insert(rng.randint(0, len(pieces)), " ".join([*words, more]))
+        bodies.append(" ".join(pieces))
+    df = spark.createDataFrame([(b,) for b in bodies], "body string").repartition(4)
+    found = df.select(
+        *[refs.kept_names(tokens(F.col("body"))).alias(tokens.__name__) for tokens in (refs.body_tokens, refs.name_tokens)]
+    )
+    same = [F.transform(c, lambda n: F.struct(n["token"], n["role"], n["joined"])) for c in found.columns]
+    assert found.filter(F.size("body_tokens") > 2).count() > 100
+    assert found.filter(same[0] != same[1]).count() == 0
+
+
 def test_many_names_in_one_body(spark):
     """More names than the fold's short list holds."""
     body = "SELECT " + ", ".join(f"d{i % 9}.f{i}(1)" for i in range(2000))
