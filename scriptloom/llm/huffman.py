@@ -89,37 +89,32 @@ class LibraryEncoder:
         coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.kind) for e in coded]
 
-    def _keep(self, word: str, ids: bytes) -> bytes:
-        self.table[word] = ids
-        self.bytes += ENTRY_BYTES + 2 * len(word) + len(ids)
-        return ids
-
-    def _known(self, word: str) -> bytes | None:
-        ids = self.table.get(word)
-        if ids is None and word in self.older:
-            ids = self._keep(word, self.older.pop(word))
-        return ids
-
     def _learn(self, chunks: list[str]) -> bool:
-        """Put the ids of chunks and of the words they are made of into the table.
+        """Put the ids of chunks into the table; many go to the library in one text.
 
-        False if the library's result cannot be cut at the words: then only whole texts are right.
+        False if its result cannot be cut between the chunks: then only whole texts are right.
         """
-        cut = [(chunk, self.words.findall(chunk)) for chunk in chunks if self._known(chunk) is None]
-        new = list({w for _, words in cut for w in words if self._known(w) is None})
-        for start in range(0, len(new), 1000):
-            some = new[start : start + 1000]
-            ids = self._ids([" ".join(some)])[0]
-            bounds = (np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize
-            if len(bounds) != len(some):
+        new = []
+        for chunk in chunks:
+            ids = self.older.pop(chunk, None)
+            if ids is None:
+                new.append(chunk)
+            else:
+                self.table[chunk] = ids
+                self.bytes += ENTRY_BYTES + 2 * len(chunk) + len(ids)
+        for start in range(0, len(new), 2000):
+            some = new[start : start + 2000]
+            joined = " ".join(some)
+            words = np.cumsum(np.fromiter(map(len, self.words.findall(joined)), dtype=np.int64))
+            behind = np.cumsum(np.fromiter(map(len, some), dtype=np.int64))
+            ids = self._ids([joined])[0]
+            word_ends = np.flatnonzero(self.ends[ids]) + 1
+            last = np.searchsorted(words, behind)  # each chunk's last word
+            if len(word_ends) != len(words) or last[-1] >= len(words) or (words[last] != behind).any():
                 return False
-            raw, at = ids.tobytes(), 0
-            for word, end in zip(some, bounds.tolist()):
-                self._keep(word, raw[at:end])
-                at = end
-        for chunk, words in cut:
-            if len(words) != 1 or words[0] != chunk:
-                self._keep(chunk, b"".join([self.table[w] for w in words]))
+            raw, cuts = ids.tobytes(), (word_ends[last] * self.kind.itemsize).tolist()
+            self.table.update(zip(some, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
+            self.bytes += ENTRY_BYTES * len(some) + 2 * len(joined) + len(raw)
         return True
 
     def encode(self, texts: list[str | None]) -> list[bytes]:

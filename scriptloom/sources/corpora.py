@@ -75,7 +75,7 @@ _NUMBERS = """
 NUMBERS_SQL = f"""
     SELECT *, h % 7 AS hd, t % 7 AS td,
            CASE m3 WHEN 0 THEN 'DETERMINISTIC AS (SELECT 1)' WHEN 1 THEN '; SELECT 1'
-                   ELSE 'AS (SELECT (1)' END AS broken
+                   ELSE concat('AS', chr(10), '  (SELECT (1)') END AS broken
     FROM ({_NUMBERS}) AS numbers
 """
 
