@@ -104,6 +104,7 @@ def cut(page: str) -> list[Block]:
     pieces: list[str] = []
     linked = links = articles = article = heading = 0
     stack: list[tuple[str, bool, int]] = []  # open tags that matter, around or not, article outside
+    opened: dict[str, int] = {}  # how often each tag is in the stack
     around = 0
 
     def close() -> None:
@@ -117,10 +118,13 @@ def cut(page: str) -> list[Block]:
     def leave(tag: str) -> None:
         """Close the innermost open ``tag`` and what is open inside it."""
         nonlocal around, article
+        if not opened.get(tag):
+            return
         for at in range(len(stack) - 1, -1, -1):
             if stack[at][0] == tag:
-                for _, was_around, outer in stack[at:]:
+                for name, was_around, _ in stack[at:]:
                     around -= was_around
+                    opened[name] -= 1
                 article = stack[at][2]
                 del stack[at:]
                 return
@@ -185,6 +189,7 @@ def cut(page: str) -> list[Block]:
                 if was_around and tag not in BLOCK_TAGS:
                     close()
                 stack.append((tag, was_around, article))
+                opened[tag] = opened.get(tag, 0) + 1
                 around += was_around
                 if tag in ("article", "main") and not was_around and not article:
                     articles += 1

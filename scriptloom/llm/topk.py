@@ -17,12 +17,14 @@ most. Rotation and thresholds only decide what is computed, never a score.
 Defined results: null ids, vectors that are null, of another length than most, or hold null or
 non-finite components take no part; equal scores go to the smaller id; an id that occurs in several
 rows counts once, with its best score, and is never its own neighbour; no usable vectors: no rows.
-Components times ``SCALE`` must stay below 2^31.
+Vectors with a component that passes 2^53 once scaled take no part; a score that passes 64 bits is
+compared exactly and returned as null.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,8 @@ SCALE = 64
 BLOCK_ROWS = 4096
 QUERY_ROWS = 512
 FIRST = 24  # rotated coordinates that are multiplied before the bound is looked at
+LARGEST = float(1 << 53)
+SCORE = pa.decimal128(38, 0)
 SLACK = 1e-6  # for rounding in the rotation, relative to the product of the lengths
 
 
@@ -61,11 +65,14 @@ def directions(rows: DataFrame, dimension: int) -> np.ndarray:
 
 def packed(ids: np.ndarray, vectors: np.ndarray) -> tuple[bytes, bytes, float]:
     longest = float(np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1).max(initial=0)))
-    return ids.astype("<i8").tobytes(), vectors.astype("<i4").tobytes(), longest
+    kind = "<i4" if np.abs(vectors).max(initial=0) < 1 << 31 else "<i8"
+    return ids.astype("<i8").tobytes(), vectors.astype(kind).tobytes(), longest
 
 
 def unpacked(ids: bytes, vectors: bytes, dimension: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids, dtype="<i8"), np.frombuffer(vectors, dtype="<i4").reshape(-1, dimension)
+    found = np.frombuffer(ids, dtype="<i8")
+    kind = "<i4" if len(vectors) == 4 * dimension * len(found) else "<i8"
+    return found, np.frombuffer(vectors, dtype=kind).reshape(-1, dimension)
 
 
 class Side:
@@ -87,7 +94,20 @@ def products(a: Side, b: Side) -> np.ndarray:
     most = a.length.max(initial=0) * b.length.max(initial=0)
     if most < 2**52:
         return np.rint(a.real @ b.real.T).astype(np.int64)
-    return a.ints.astype(np.int64) @ b.ints.astype(np.int64).T
+    kind = exact_kind(a, b)
+    return a.ints.astype(kind) @ b.ints.astype(kind).T
+
+
+def exact_kind(a: Side, b: Side) -> type:
+    """64-bit integers where no sum on the way can pass them, else integers of any size."""
+    most = a.length.max(initial=0) * b.length.max(initial=0) * max(1, a.ints.shape[1])
+    return np.int64 if most < 2**62 else object
+
+
+def as_scores(scores: np.ndarray) -> pa.Array:
+    if scores.dtype == object:
+        return pa.array([Decimal(int(s)) for s in scores], SCORE)
+    return pa.array(scores.astype(np.int64)).cast(SCORE)
 
 
 def block_best(queries: Side, others: Side, threshold: np.ndarray, k: int):
@@ -99,10 +119,11 @@ def block_best(queries: Side, others: Side, threshold: np.ndarray, k: int):
     may = (bound >= threshold[:, None]) & (queries.ids[:, None] != others.ids[None, :])
     share = may.mean() if may.size else 0
     whole = products(queries, others) if share > 0.05 else None
+    kind = exact_kind(queries, others)
     out: tuple[list, list, list] = ([], [], [])
     for i in np.flatnonzero(may.any(axis=1)):
         at = np.flatnonzero(may[i])
-        scores = whole[i, at] if whole is not None else others.ints[at].astype(np.int64) @ queries.ints[i].astype(np.int64)
+        scores = whole[i, at] if whole is not None else others.ints[at].astype(kind) @ queries.ints[i].astype(kind)
         if len(at) > 4 * k:
             border = -np.partition(-scores, k - 1)[k - 1]
             # ids that occur more than once could fill the k places
@@ -124,9 +145,8 @@ def top_products(
     rows, _, dimension = usable(vectors, id_column, vector_column, zero=True)
     if not dimension:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    ints = rows.select(
-        "vec_id", F.transform("v", lambda x: F.floor(x.cast("double") * scale).cast("int")).alias("v")
-    )
+    rows = rows.where(F.forall("v", lambda x: F.abs(x.cast("double") * scale) < LARGEST))
+    ints = rows.select("vec_id", F.transform("v", lambda x: F.floor(x.cast("double") * scale)).alias("v"))
     rotation = directions(ints, dimension)
     count = ints.count()
     slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -152,7 +172,7 @@ def top_products(
                     ids, found, held, seq = [], [], 0, seq + 1
                 part = some.column(0)[0].as_py()
                 ids.append(some.column(1).to_numpy())
-                found.append(matrix(some.column(2), dimension).astype(np.int32))
+                found.append(matrix(some.column(2), dimension).astype(np.int64))
                 held += len(some)
         if ids:
             yield close()
@@ -176,7 +196,7 @@ def top_products(
         for batch in batches:
             for start in range(0, len(batch), QUERY_ROWS):
                 some = batch.slice(start, QUERY_ROWS)
-                ids, found, _ = packed(some.column(0).to_numpy(), matrix(some.column(1), dimension).astype(np.int32))
+                ids, found, _ = packed(some.column(0).to_numpy(), matrix(some.column(1), dimension).astype(np.int64))
                 queries = Side(ids, found, turn)
                 threshold = np.full(len(queries.ids), -np.inf)
                 open_to_all = np.full(len(queries.ids), -np.inf)
@@ -216,10 +236,11 @@ def top_products(
                 queries = Side(q_ids, q_vectors, turn)
                 at, *best = block_best(queries, others, np.frombuffer(threshold, dtype="<f8"), k)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (queries.ids[at], *best)], names=["query_id", "vec_id", "score"]
+                    [pa.array(queries.ids[at]), pa.array(best[0]), as_scores(best[1])],
+                    names=["query_id", "vec_id", "score"],
                 )
 
     found = pairs.select("part", "seq", "q_ids", "q_vectors", "threshold", "ids", "vectors").mapInArrow(
-        meet, "query_id long, vec_id long, score long"
+        meet, "query_id long, vec_id long, score decimal(38,0)"
     )
-    return best_per_query(found, k)
+    return best_per_query(found, k).withColumn("score", F.expr("try_cast(score AS bigint)"))

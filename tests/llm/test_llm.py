@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -388,6 +389,27 @@ def test_top_products_with_every_row_repeated(spark, monkeypatch, copies):
         assert sorted(got[at]) == [(k + 1, int(i), int(scores[i])) for k, i in enumerate(true)]
 
 
+@pytest.mark.parametrize("size", [1e9, 1e12])
+def test_top_products_of_large_components(spark, size):
+    z = np.random.default_rng(3).normal(size=(90, 5)) * size
+    rows = [(i, v.tolist()) for i, v in enumerate(z)] + [(500, [1e300] * 5)]  # passes 2^53 once scaled
+    ints = [[int(np.floor(64 * x)) for x in v] for v in z]
+    got = {}
+    for r in topk.top_products(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q in range(0, 90, 20):
+        true = sorted((-sum(a * b for a, b in zip(ints[q], v)), i) for i, v in enumerate(ints) if i != q)[:20]
+        fits = [(k + 1, i, -s if abs(s) < 1 << 63 else None) for k, (s, i) in enumerate(true)]
+        assert sorted(got[q]) == fits
+
+
+def test_deeply_nested_pages_take_linear_time():
+    page = "<div>" * 20_000 + "<p>some words of a story that goes on</p>" + "</p></b>" * 20_000
+    start = time.process_time()
+    assert [b.text for b in html_text.cut(page)] == ["some words of a story that goes on"]
+    assert time.process_time() - start < 5
+
+
 def test_mix_meets_its_targets(spark, docs, empty):
     made = mixing.mix_sources(docs)
     rows = made.collect()
