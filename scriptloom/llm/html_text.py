@@ -93,7 +93,7 @@ def is_around(tag: str, attributes: str) -> bool:
             return True
         if name == "role" and value.lower() in AROUND_ROLES:
             return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and AROUND_NAMES.search(value):
+        if name in ("class", "id") and tag not in ("html", "body", "main") and AROUND_NAMES.search(value):
             return True
     return False
 
@@ -191,7 +191,7 @@ def cut(page: str) -> list[Block]:
                 stack.append((tag, was_around, article))
                 opened[tag] = opened.get(tag, 0) + 1
                 around += was_around
-                if tag in ("article", "main") and not was_around and not article:
+                if tag in ("article", "main") and not around and not article:
                     articles += 1
                     article = articles
     close()
@@ -247,10 +247,13 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     blocks = cut(page)
-    if any(b.article for b in blocks):
-        blocks = [b for b in blocks if b.article]
-    keep = second_pass(blocks, [first_pass(b) for b in blocks])
-    return "\n\n".join(b.text for b, kept in zip(blocks, keep) if kept)
+    inside = [b for b in blocks if b.article]
+    # blocks outside count where there is no article, or nothing in it is kept
+    for some in (inside, blocks):
+        keep = second_pass(some, [first_pass(b) for b in some])
+        if any(keep):
+            return "\n\n".join(b.text for b, kept in zip(some, keep) if kept)
+    return ""
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:

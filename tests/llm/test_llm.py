@@ -403,6 +403,16 @@ def test_top_products_of_large_components(spark, size):
         assert sorted(got[q]) == fits
 
 
+def test_articles_around_the_story_do_not_replace_it():
+    story = "It was the best of the times and it was the worst of them, and so on and on for all of us. " * 5
+    for page in (
+        f"<div id=story><p>{story}</p></div><aside><article>teaser</article></aside>",
+        f"<div id=story><p>{story}</p></div><article class=comment><p>{story[::-1]}</p></article>",
+        f"<article></article><div><p>{story}</p></div>",
+    ):
+        assert html_text.main_text(page) == story.strip()
+
+
 def test_deeply_nested_pages_take_linear_time():
     page = "<div>" * 20_000 + "<p>some words of a story that goes on</p>" + "</p></b>" * 20_000
     start = time.process_time()
