@@ -273,6 +273,140 @@ def _tokens_sql(source: str) -> str:
     """
 
 
+# --- names in free text: each token as one letter, a clause and all it announces as one match ------
+
+# Words of bodies by what they do to the names behind them.
+_LETTERS = {
+    "1": "FROM", "2": "JOIN", "3": "INTO UPDATE DELETE TRUNCATE", "4": "USING MERGE", "5": "CALL", "a": "AS",
+    "x": "EXTRACT", "y": "UNNEST WITH", "z": "ON WHERE GROUP ORDER LIMIT HAVING SET VALUES",
+    # passing words that are no alias, and those that may be one
+    "P": "LEFT RIGHT FULL INNER CROSS OUTER BEGIN END IF THEN ELSE LOOP WHILE FOR WHEN UNION INTERSECT EXCEPT"
+    " QUALIFY WINDOW",
+    "p": "TABLE BY SELECT DEFAULT DECLARE ELSEIF DO IN AND OR NOT TRUE FALSE NULL CASE MATCHED INSERT",
+}
+_NEVER_ALIAS = " ".join(_LETTERS[x] for x in "245zP").split()
+# Letters of names: n name, j joined by backticks around all, c and k the same before a paren, d and e before
+# a loose dot, o one part before a dot, s one part in backticks; a capital begins with a word of _NEVER_ALIAS.
+_PASSED = "[gqpPaxf,l]"
+_DUE = "[wsnNj]"
+_ANY_ALIAS, _PLAIN_ALIAS, _CUT = "[x12345zywpPafsj]", "[wpyx13fsj]", "[ncdkeo]"
+_ENTRY = rf"{_DUE}(?:(?:a{_ANY_ALIAS}|{_PLAIN_ALIAS}),|a[,l]|[,l])"
+_LAST_ENTRY = rf"{_DUE}(?:a{_ANY_ALIAS}|a[ncdkeoNCDEO]|{_PLAIN_ALIAS}|{_CUT}|a)?"
+_STRETCH = rf"[12345]{_PASSED}*(?:{_ENTRY}{_PASSED}*)*(?:{_LAST_ENTRY}|[cdekCDE])?"
+_PIECE = rf"{_ENTRY}|{_LAST_ENTRY}|."
+
+
+def _letters_sql() -> str:
+    def words(names: str) -> str:
+        return ", ".join(f"'{w}'" for w in names.split())
+
+    bare = " ".join(f"WHEN upper(token) IN ({words(names)}) THEN '{letter}'" for letter, names in _LETTERS.items())
+    first = f"upper(regexp_extract(token, '^{_BARE}')) IN ({words(' '.join(_NEVER_ALIAS))})"
+
+    def by_tail(plain: str, call: str, dot: str) -> str:
+        return f"CASE right(token, 1) WHEN '(' THEN '{call}' WHEN '.' THEN '{dot}' ELSE '{plain}' END"
+
+    return f"""
+      CASE WHEN regexp_matches(token, '^[A-Za-z_]') AND NOT contains(token, '.') THEN CASE {bare} ELSE 'w' END
+           WHEN token IN (',', '(', ')', ';') THEN token
+           WHEN token[1] IN (chr(39), '"') THEN 'q'
+           WHEN regexp_matches(token, '^[A-Za-z_]') OR (token[1] = '`' AND length(token) > 1) THEN
+             CASE WHEN NOT contains(token, '.') THEN 's'
+                  WHEN regexp_full_match(token, {_lit(_FIRST_PART + _GAP + "[.]")}) THEN
+                    CASE WHEN {first} THEN 'O' ELSE 'o' END
+                  WHEN regexp_matches(token, '^`[^`.]*\\.[^`.]*`') OR regexp_matches(token, '^`[^`.]*\\.[^`.]*\\.[^`.]*`')
+                    THEN {by_tail('j', 'k', 'e')}
+                  WHEN {first} THEN {by_tail('N', 'C', 'D')}
+                  ELSE {by_tail('n', 'c', 'd')} END
+           WHEN right(token, 1) = ',' THEN 'l' ELSE 'g' END"""
+
+
+def _free_names_sql(source: str) -> str:
+    """The names of bodies. Every token becomes a letter; a clause word and what it announces is one
+    match in the row of letters, whose pieces are names with their aliases. FROM within EXTRACT( counts
+    for nothing."""
+    return f"""
+    WITH tokens AS (SELECT * FROM ({_tokens_sql(source)}) AS t),
+    lettered AS (SELECT script_id, position, token, {_letters_sql()} AS letter FROM tokens),
+    sums AS (
+      SELECT *, sum(CASE WHEN letter IN ('(', 'c', 'C', 'k') THEN 1 WHEN letter = ')' THEN -1 ELSE 0 END)
+                  OVER by_place AS total,
+             lag(letter) OVER by_place AS before
+      FROM lettered WINDOW by_place AS (PARTITION BY script_id ORDER BY position)
+    ),
+    deep AS (
+      SELECT *, total - least(0, min(total) OVER (PARTITION BY script_id ORDER BY position)) AS depth FROM sums
+    ),
+    opened AS (
+      SELECT o.script_id, o.position AS since,
+             coalesce((SELECT min(c.position) FROM deep AS c WHERE c.script_id = o.script_id
+                       AND c.position > o.position AND c.depth < o.depth), 1 << 40) AS upto
+      FROM deep AS o WHERE o.letter = '(' AND o.before = 'x'
+    ),
+    placed AS (
+      SELECT script_id, position,
+             CASE WHEN letter = '1' AND EXISTS (SELECT 1 FROM opened AS o WHERE o.script_id = d.script_id
+                       AND d.position > o.since AND d.position < o.upto) THEN 'f' ELSE letter END AS letter
+      FROM deep AS d
+    ),
+    rows_of_letters AS (SELECT script_id, string_agg(letter, '' ORDER BY position) AS letters FROM placed GROUP BY script_id),
+    stretches AS (
+      SELECT script_id, unnest(found) AS stretch, generate_subscripts(found, 1) AS i
+      FROM (SELECT script_id, regexp_extract_all(letters, {_lit(_STRETCH + "|.")}) AS found FROM rows_of_letters) AS x
+    ),
+    begun AS (
+      SELECT *, sum(length(stretch)) OVER (PARTITION BY script_id ORDER BY i) - length(stretch) AS passed FROM stretches
+    ),
+    pieces AS (
+      SELECT script_id, stretch, passed, unnest(found) AS piece, generate_subscripts(found, 1) AS j
+      FROM (SELECT *, regexp_extract_all(stretch[2:], {_lit(_PIECE)}) AS found FROM begun WHERE length(stretch) > 1) AS x
+    ),
+    put AS (
+      SELECT *, passed + 1 + sum(length(piece)) OVER (PARTITION BY script_id, passed ORDER BY j) AS upto FROM pieces
+    ),
+    kept AS (
+      SELECT script_id, passed + 1 AS position, '' AS role, stretch AS letter, false AS cut
+      FROM begun WHERE stretch IN ('c', 'C', 'k')
+      UNION ALL
+      SELECT script_id, upto - length(piece) + 1, stretch[1], piece[1], false FROM put
+      WHERE piece[1] IN ('n', 'N', 'j', 'c', 'C', 'd', 'D', 'e', 'k')
+      UNION ALL
+      SELECT script_id, upto, '', piece[-1], true FROM put WHERE length(piece) > 1 AND piece[-1] IN ('c', 'C')
+    ),
+    spelled AS (
+      SELECT k.script_id, k.position, k.role, k.letter,
+             CASE WHEN k.cut THEN regexp_replace(t.token, {_lit("^" + _FIRST_PART + _GAP + "[.]" + _GAP)}, '')
+                  ELSE t.token END AS token, k.cut
+      FROM kept AS k JOIN tokens AS t USING (script_id, position)
+    ),
+    parted AS (
+      SELECT *, CASE WHEN letter IN ('j', 'k', 'e') THEN string_split(regexp_extract(token, '^`([^`]*)`', 1), '.')
+                     ELSE list_transform(list_filter(regexp_extract_all(token, {_lit("(`[^`]*`|" + _BARE + ")|" + _GAP1)}, 1),
+                                                     lambda p: p <> ''), lambda p: replace(p, '`', '')) END AS parts
+      FROM spelled WHERE NOT cut OR contains(token, '.')
+    ),
+    named AS (
+      SELECT *, len(parts) AS size,
+             len(parts) = 3 AND upper(parts[2]) = 'INFORMATION_SCHEMA' AND letter NOT IN ('j', 'k', 'e') AS metadata
+      FROM parted
+    ),
+    read_out AS (
+      SELECT *, CASE WHEN size = 2 OR metadata THEN parts[1] ELSE parts[2] END AS dataset_id,
+             CASE WHEN size = 4 THEN parts[3] || '.' || parts[4] WHEN metadata THEN parts[2] || '.' || parts[3]
+                  WHEN size = 3 THEN parts[3] ELSE parts[2] END AS object_id,
+             right(token, 1) = '(' AS called
+      FROM named
+    )
+    SELECT script_id, row_number() OVER (PARTITION BY script_id ORDER BY position) AS position, dataset_id, object_id,
+           CASE WHEN role = '5' THEN 'PROCEDURE'
+                WHEN role IN ('1', '2') AND called THEN 'TABLE_VALUED_FUNCTION'
+                WHEN role <> '' AND NOT called THEN
+                  CASE WHEN contains(upper(object_id), 'INFORMATION_SCHEMA') THEN 'TABLE' ELSE 'VIEW' END
+                ELSE 'SCALAR_FUNCTION' END AS object_type,
+           size > 2 AND NOT metadata AS has_project, metadata
+    FROM read_out"""
+
+
 def oracle_sql() -> dict[str, str]:
     layer_columns = (
         "layer, dataset_id, object_id, object_type,"
@@ -482,6 +616,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "body_tokens": _tokens_sql(f"({corpora.BODIES_SQL}) AS bodies"),
         "free_text_tokens": _tokens_sql(_FREE),
+        "free_text_names": _free_names_sql(_FREE),
         "script_names": f"SELECT script_id, position, dataset_id, object_id, object_type,"
         f" has_project, metadata FROM ({_NAMES_SQL}) AS x",
         "references": _REFERENCES_SQL,
