@@ -340,7 +340,7 @@ def _free_names_sql(source: str) -> str:
     opened AS (
       SELECT o.script_id, o.position AS since,
              coalesce((SELECT min(c.position) FROM deep AS c WHERE c.script_id = o.script_id
-                       AND c.position > o.position AND c.depth < o.depth), 1 << 40) AS upto
+                       AND c.position > o.position AND c.depth < o.depth), 9223372036854775807) AS upto
       FROM deep AS o WHERE o.letter = '(' AND o.before = 'x'
     ),
     placed AS (
