@@ -30,9 +30,9 @@ def dedent(text: Column) -> Column:
     # The common start of the least and the greatest run is the common start of all runs.
     ends = F.concat_ws("\n", F.array_min(leads), F.array_max(leads))
     common = F.regexp_extract(ends, r"\A([ \t]*)[ \t]*\n\1", 1)
-    return F.when(
-        common != "", F.regexp_replace(text, F.concat(F.lit("(?md)^"), common), F.lit(""))
-    ).otherwise(text)
+    line_end = F.lit("\n")
+    cut = F.replace(F.concat(line_end, text), F.concat(line_end, common), line_end)
+    return F.when(common != "", F.substr(cut, F.lit(2))).otherwise(text)
 
 
 def strip_comments(text: Column) -> Column:

@@ -617,6 +617,19 @@ def oracle_sql() -> dict[str, str]:
         "body_tokens": _tokens_sql(f"({corpora.BODIES_SQL}) AS bodies"),
         "free_text_tokens": _tokens_sql(_FREE),
         "free_text_names": _free_names_sql(_FREE),
+        "mixed_names": _free_names_sql(f"({corpora.MIXED_BODIES_SQL}) AS mixed"),
+        "mixed_blocks": _select(f"{_ID}, {corpora.MIXED_BLOCK} AS body"),
+        "mixed_arguments": _union(
+            *[
+                _select(
+                    f"{_ID}, CAST({i + 1} AS BIGINT) AS position, 'a{i}' AS name,"
+                    f" nullif(trim({corpora.argument_mode(i)}), '') AS mode,"
+                    f" {corpora.argument_type(i, False)} AS data_type",
+                    f"{corpora.ARGUMENT_COUNT} > {i}",
+                )
+                for i in range(3)
+            ]
+        ),
         "script_names": f"SELECT script_id, position, dataset_id, object_id, object_type,"
         f" has_project, metadata FROM ({_NAMES_SQL}) AS x",
         "references": _REFERENCES_SQL,

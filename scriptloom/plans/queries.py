@@ -526,3 +526,22 @@ def followed_objects(spark, sf_dir):
 @query
 def followed_rejects(spark, sf_dir):
     return _followed(spark, sf_dir)[1]
+
+
+@query
+def mixed_names(spark, sf_dir):
+    """Names of bodies with nested EXTRACT, MERGE and USING, lists with aliases, joined names and calls."""
+    return ref_ops.body_names(corpora.mixed_bodies(spark, sf_dir))
+
+
+@query
+def mixed_blocks(spark, sf_dir):
+    """Bodies of procedures whose statements are nested three deep."""
+    rows = cat.catalog(corpora.mixed_scripts(spark, sf_dir), trim_body=False, trim_indentation=False)
+    return rows.select("script_id", "body")
+
+
+@query
+def mixed_arguments(spark, sf_dir):
+    rows = cat.catalog_rows(corpora.mixed_scripts(spark, sf_dir))
+    return children.arguments(rows).select("script_id", "position", "name", "mode", "data_type")

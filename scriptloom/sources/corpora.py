@@ -180,6 +180,113 @@ PLACEHOLDERS_SQL = f"""
 """
 
 
+# --- scripts and bodies spelled from the digits of a mixed radix ----------------------------------
+
+# What a body begins with, the relations it lists, and what follows them.
+_HEADS = (
+    "SELECT a FROM ", "SELECT EXTRACT(DAY FROM x.y) FROM ",
+    "SELECT EXTRACT(YEAR FROM (SELECT max(EXTRACT(DAY FROM z.t)) FROM q.r)) FROM ",
+    "MERGE ds{ds}.m{k} t USING ", "MERGE INTO `dsj.m{k}` AS t USING ",
+    "DELETE FROM ds{ds}.d{k} WHERE x IN (SELECT y FROM ", "INSERT INTO ds{ds}.n{k} (a, b) SELECT a, b FROM ",
+    "UPDATE ds{ds}.u{k} SET a = dsf.fn(b) FROM ", "CALL ds{ds}.p{k}(1); SELECT * FROM ",
+)
+_LISTS = (
+    "ds{ds}.v{h}", "`ds{td}.w{k}`", "ds{ds}.a{k} AS q, ds{td}.b{k} r, `x{m3}`.`y` z",
+    "proj.ds{td}.t{k} AS a, UNNEST(a.xs) u, dsx.no{k}", "ds{ds}.f{k}(1) AS f, ds{td}.g",
+    "(SELECT * FROM dsn.inner{k} i) s, ds{td}.after{k}",
+    "ds{ds}.INFORMATION_SCHEMA.TABLES t, p.ds{td}.INFORMATION_SCHEMA.COLUMNS",
+)
+_TAILS = (
+    "", " WHERE dsf.check{k}(x)", " JOIN ds{td}.j{k} AS j USING (x, y)", " LEFT JOIN `dsj`.j{k} ON a.b = c.d",
+    " ON t.x = s.y WHEN MATCHED THEN UPDATE SET x = s.z WHEN NOT MATCHED THEN INSERT (a) VALUES (dsf.v(1))",
+    " GROUP BY dsg.x ORDER BY 1; TRUNCATE TABLE ds{ds}.tr{k}", " QUALIFY RANK() OVER (PARTITION BY a.b) = 1 -- FROM dsc.c\n",
+)
+_JOINTS = (" ", "\n", " /* FROM dsc.x, dsc.y */ ", ", 'FROM dsq.z' AS s ")
+# Statements that hold others in their middle, and those that hold none.
+_NESTS = (
+    "IF x > 1 THEN {} END IF;", "LOOP {} LEAVE; END LOOP;", "WHILE x < 3 DO\n{}\nEND WHILE;",
+    "FOR r IN (SELECT 1 AS y) DO {} END FOR;", "BEGIN\n  {}\nEND;", "REPEAT {} UNTIL x > 2 END REPEAT;",
+    "IF a THEN SELECT 1; ELSEIF b THEN {} ELSE SELECT IF(a, 1, 2); END IF;",
+)
+_LEAVES = (
+    "SET x = CASE WHEN a THEN 1 ELSE 2 END;", "SELECT IF(a, 'END', \"BEGIN\") FROM t;", "CALL ds{ds}.p{k}(1);",
+    "-- END;\nSELECT `end` FROM t;",
+)
+_ARGUMENT_MODES = ("", "IN ", "OUT ", "INOUT ")
+# Argument types as written and as they are returned.
+ARGUMENT_TYPES = (
+    ("INT64", "INT64"), ("string", "STRING"), ("ARRAY<STRUCT<a INT, b ARRAY<STRING>>>", "ARRAY<STRUCT<a INT64, b ARRAY<STRING>>>"),
+    ("NUMERIC(10, 2)", "NUMERIC"), ("STRUCT<x BOOLEAN, y DEC>", "STRUCT<x BOOL, y NUMERIC>"),
+)
+
+
+def _digits(*bases: int) -> list[str]:
+    """The digits of ``k`` in a mixed radix, as SQL."""
+    out, below = [], 1
+    for base in bases:
+        out.append(f"(CAST(floor(k / {below}) AS BIGINT) % {base})")
+        below *= base
+    return out
+
+
+def _chosen(digit: str, options) -> str:
+    return f"CASE {digit} " + " ".join(f"WHEN {i} THEN {text(o)}" for i, o in enumerate(options)) + " END"
+
+
+def _nested(digits: list[str], leaf: str) -> str:
+    """Statements within statements, the outermost chosen by the first digit."""
+    inner = leaf
+    for digit in reversed(digits):
+        before, behind = zip(*(nest.split("{}") for nest in _NESTS))
+        inner = f"concat({_chosen(digit, before)}, {inner}, {_chosen(digit, behind)})"
+    return inner
+
+
+_HEAD, _LIST, _TAIL, _JOINT, _SECOND = _digits(9, 7, 7, 4, 7)
+MIXED_BODIES_SQL = f"""
+    SELECT CAST(k AS STRING) AS script_id,
+           concat({_chosen(_HEAD, _HEADS)}, {_chosen(_LIST, _LISTS)}, {_chosen(_TAIL, _TAILS)}, {_chosen(_JOINT, _JOINTS)},
+                  'SELECT 1 FROM ', {_chosen(_SECOND, _LISTS)}) AS body
+    FROM ({NUMBERS_SQL}) AS numbered
+"""
+_LEVELS = _digits(7, 7, 7, 4)
+MIXED_BLOCK = f"concat('BEGIN ', {_nested(_LEVELS[:3], _chosen(_LEVELS[3], _LEAVES))}, {NL}, 'END')"
+ARGUMENT_COUNT = "k % 4"
+
+
+def argument_type(place: int, written: bool) -> str:
+    digit = f"(CAST(floor(k / {4 * 5**place}) AS BIGINT) % 5)"
+    return _chosen(digit, [pair[0 if written else 1] for pair in ARGUMENT_TYPES])
+
+
+def argument_mode(place: int) -> str:
+    return _chosen(f"(CAST(floor(k / {3 * 4**place}) AS BIGINT) % 4)", _ARGUMENT_MODES)
+
+
+def _mixed_argument(place: int) -> str:
+    comma = "', '" if place else "''"
+    spelled = f"concat({comma}, {argument_mode(place)}, 'a{place} ', {argument_type(place, True)})"
+    return f"CASE WHEN {ARGUMENT_COUNT} > {place} THEN {spelled} ELSE '' END"
+
+
+MIXED_SCRIPTS_SQL = f"""
+    SELECT CAST(k AS STRING) AS script_id,
+           concat('CREATE PROCEDURE ds', CAST(ds AS STRING), '.p', CAST(k AS STRING), '(', {_mixed_argument(0)},
+                  {_mixed_argument(1)}, {_mixed_argument(2)}, ')', {NL}, {MIXED_BLOCK}, '; SELECT 2') AS sql
+    FROM ({NUMBERS_SQL}) AS numbered
+"""
+
+
+def mixed_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One body per order: a head, a list of relations, a tail and a second query, each by a digit of the key."""
+    return order_bodies(spark, sf_dir, MIXED_BODIES_SQL)
+
+
+def mixed_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One procedure per order: statements three deep and up to three arguments, by digits of the key."""
+    return order_bodies(spark, sf_dir, MIXED_SCRIPTS_SQL)
+
+
 def order_bodies(spark: SparkSession, sf_dir: str, sql: str = BODIES_SQL) -> DataFrame:
     """The shared query of the scripts alone, one per order, indented by zero to four blanks."""
     orders = _spread(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
