@@ -542,7 +542,7 @@ def oracle_sql() -> dict[str, str]:
             " WHEN 2 THEN 'fn ' || k END AS description,"
             " CASE WHEN shape = 0 THEN 'v ' || k END AS friendly_name,"
             " CASE WHEN shape = 11 THEN 'DETERMINISTIC' END AS determinism_level,"
-            " CAST(NULL AS VARCHAR) AS data_governance_type",
+            " CASE WHEN shape = 11 THEN 'MASKING_' || m3 END AS data_governance_type",
             _OK,
         ),
         "interval_values": """
@@ -810,7 +810,8 @@ def _options_sql() -> str:
             "library": "'[''gs://b/l' || m3 || '.py'']'",
             "container_cpu": "'1'",
         },
-        11: {"library": "'gs://b/one.js'", "determinism_level": "'deterministic'"},
+        11: {"library": "'gs://b/one.js'", "determinism_level": "'deterministic'",
+             "data_governance_type": "'Masking_' || m3"},
         12: {
             "engine": "'SPARK'",
             "runtime_version": "'2.' || m3",

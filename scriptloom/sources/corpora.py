@@ -146,7 +146,7 @@ def main{m3}(x):
 \'\'\';""",
     10: "CREATE TABLE FUNCTION ds{ds}.v{k}(n INT64) {broken}",
     11: """CREATE AGGREGATE FUNCTION ds{ds}.v{k}(x FLOAT64) RETURNS FLOAT64
-LANGUAGE js OPTIONS (library = "gs://b/one.js", determinism_level = 'deterministic')
+LANGUAGE js OPTIONS (library = "gs://b/one.js", determinism_level = 'deterministic', data_governance_type = "Masking_{m3}")
 AS R \"\"\"
   return "a" + 'b';
 \"\"\"; ignored""",
