@@ -1,9 +1,12 @@
 """Chat formatting in budgeted windows, with DataFrame functions only.
 
-The tokens of a conversation's turns are summed in turn order. A window takes the turns whose sum
-begins in one stretch of ``BUDGET - HISTORY`` tokens (so spans are aligned to turns), before them
-the turns whose sums begin in the ``HISTORY`` tokens before the span, and before these the
-conversation's opening system turn. Repeated turns are context: only the first copy of an assistant
+The tokens of a conversation's turns are summed in turn order. Stretches of these sums are half as
+long as what the budget leaves beside the conversation's opening system turn. A window takes the
+turns whose sums end in one stretch (so spans are aligned to turns): a first turn that reaches in from the
+stretch before is no longer than a stretch, so together they fit; a longer turn is a window alone.
+Before them come the last turns of the window before, as many as fit in ``HISTORY`` tokens and in what
+the budget has left, and before these the system turn. So a window costs ``BUDGET`` tokens at most, unless its
+one turn and the system turn alone cost more. Repeated turns are context: only the first copy of an assistant
 turn is under the loss mask.
 
 Template: ``<|role|>text<|end|>`` per turn. In texts and roles ``&`` is written ``&amp;`` and ``<`` is
@@ -57,7 +60,6 @@ def windows(
     """The windows of all conversations of ``turns`` (conv_id, turn, role, text)."""
     if not 0 <= history <= budget - history:
         raise ValueError("history may take half of the budget at most")
-    stride = budget - history
     rows = turns.select(
         turns["conv_id"].cast("long").alias("conv_id"),
         turns["turn"].alias("turn"),
@@ -73,20 +75,31 @@ def windows(
     summed = numbered.withColumn("opening", opening).withColumn(
         "begin", F.coalesce(F.sum(F.when(~F.col("opening"), F.col("cost")).otherwise(0)).over(before), F.lit(0))
     )
-    spanned = summed.withColumn("span", F.floor(F.col("begin") / stride))
     by_pos = Window.partitionBy("conv_id").orderBy("pos")
-    firsts = spanned.withColumn(
+    up_to = by_pos.rowsBetween(Window.unboundedPreceding, 0)
+    left = F.lit(budget) - F.first(F.when(F.col("opening"), F.col("cost")).otherwise(0)).over(up_to)
+    stretched = summed.withColumn("left", left).withColumn("width", F.greatest(F.lit(1), F.floor(F.col("left") / 2)))
+    stretched = stretched.withColumn("long", F.col("cost") > F.col("width")).withColumn(
+        "stretch", F.floor((F.col("begin") + F.col("cost") - 1) / F.col("width"))
+    )
+    former = F.lag(F.when(~F.col("opening"), F.struct("stretch", "long"))).over(by_pos)
+    firsts = stretched.withColumn("former", former).withColumn(
         "first", ~F.col("opening") & (
-            F.coalesce(F.lag(F.when(~F.col("opening"), F.col("span"))).over(by_pos), F.lit(-1)) != F.col("span")
+            F.col("former").isNull() | (F.col("former.stretch") != F.col("stretch")) | F.col("long") | F.col("former.long")
         )
     ).withColumn(
         "alone", F.col("opening") & (F.lead("pos").over(by_pos).isNull())
     )
+    span = F.greatest(F.sum(F.col("first").cast("long")).over(up_to) - 1, F.lit(0))
+    own_cost = F.sum(F.when(~F.col("opening"), F.col("cost")).otherwise(0)).over(Window.partitionBy("conv_id", "span"))
+    firsts = firsts.withColumn("span", span).withColumn(
+        "room", F.least(F.lit(history), F.col("left") - own_cost)
+    )
     # the span after a turn's own one, and where it begins
     behind = Window.partitionBy("conv_id").orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    after = F.last(F.when(F.col("first"), F.struct("span", "begin")), ignorenulls=True).over(behind)
+    after = F.last(F.when(F.col("first"), F.struct("span", "begin", "room")), ignorenulls=True).over(behind)
     system = F.last(F.when(F.col("opening"), F.struct("role", "text")), ignorenulls=True).over(
-        by_pos.rowsBetween(Window.unboundedPreceding, 0)
+        up_to
     )
     placed = firsts.withColumn("after", after).withColumn("system", F.when(F.col("first"), system))
     own = F.struct("span", "pos", F.lit(False).alias("context"), "role", "text")
@@ -96,7 +109,7 @@ def windows(
         "span", F.lit(1).alias("pos"), (F.col("span") > 0).alias("context"),
         F.col("system.role").alias("role"), F.col("system.text").alias("text"),
     )
-    near = ~F.col("opening") & (F.col("after.begin") - F.col("begin") <= history)
+    near = ~F.col("opening") & (F.col("after.begin") - F.col("begin") <= F.col("after.room"))
     copies = F.filter(
         F.array(
             F.when(~F.col("opening") | F.col("alone"), own),

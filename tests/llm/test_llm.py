@@ -286,6 +286,37 @@ def test_chat_repeats_history_and_system_turn(spark):
     assert sum(len(w["loss"]) for w in made) == 6
 
 
+def chat_cost(formatted):
+    """What the turns of a window cost, from its text."""
+    return [
+        len(re.findall(r"[^\W_]+|[^\s\w]|_", t.replace("&lt;", "<").replace("&amp;", "&"))) + chat.TURN_TOKENS
+        for t in re.findall(r"<\|[^|]*\|>([^<]*)<\|end\|>", formatted)
+    ]
+
+
+@pytest.mark.parametrize("budget, history", [(1024, 256), (100, 0), (60, 30)])
+def test_windows_keep_their_budget(spark, budget, history):
+    rnd = random.Random(budget)
+    rows = [(1, i, "user", "w " * n) for i, n in enumerate((50, 600, 50, 600))]
+    for c in range(2, 30):
+        rows += [(c, 0, "system", "s " * rnd.randint(0, 20))] if c % 3 else []
+        rows += [(c, i + 1, ("user", "assistant")[i % 2], "x, " * int(rnd.expovariate(1 / 20))) for i in range(rnd.randint(0, 60))]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    made = chat.windows(turns, budget=budget, history=history).collect()
+    texts = {}
+    for w in made:
+        costs = chat_cost(w["formatted"])
+        system = w["formatted"].startswith("<|system|>")
+        own = len(costs) - w["context_turns"] - (system and w["context_turns"] == 0)
+        repeated = w["context_turns"] - (system and w["context_turns"] > 0)
+        assert sum(costs) <= budget or (own == 1 and repeated == 0)
+        assert sum(costs[int(system) : int(system) + repeated]) <= history
+        texts.setdefault(w["conv_id"], []).append((w["window"], own))
+    counted = {c: sum(1 for r in rows if r[0] == c and r[2] != "system") for c in {r[0] for r in rows}}
+    assert all(sum(n for _, n in found) == counted[c] for c, found in texts.items() if counted[c])
+    assert any(w["context_turns"] > 1 for w in made) or history == 0
+
+
 def test_main_text(spark):
     prose = "The cat is on the mat and it was there for all of the day. " * 6
     page = (
