@@ -147,7 +147,8 @@ def resource_type(object_type: Column) -> Column:
 def outline(clauses: Column) -> Column:
     """The outline of the clauses after the name, and the items of their bracket groups.
 
-    Gives ``struct<depth, outline, items>``; a depth other than 0 means unbalanced brackets.
+    Gives ``struct<depth, outline, items, mark>``; a depth other than 0 means unbalanced brackets, and
+    then ``mark`` counts the characters before the outermost one that is not closed or not open.
     ``lead`` of an item is the word before its group, ``open`` the bracket that opens the group.
     """
     tokens = F.regexp_extract_all(clauses, F.lit(_TOKEN), F.lit(1))
@@ -160,8 +161,10 @@ def outline(clauses: Column) -> Column:
         F.lit("").alias("item"),
         F.lit(False).alias("done"),
         F.lit("").alias("items"),
+        F.lit(0).alias("at"),
+        F.lit(0).alias("mark"),
     )
-    fields = ("depth", "grp", "outline", "lead", "open", "item", "done", "items")
+    fields = ("depth", "grp", "outline", "lead", "open", "item", "done", "items", "at", "mark")
 
     def step(acc: Column, token: Column) -> Column:
         depth = acc["depth"]
@@ -178,6 +181,7 @@ def outline(clauses: Column) -> Column:
         lead = F.upper(F.regexp_extract(token, rf"({lexis.WORD})\s*+\z", 1))
 
         def put(**changes: Column | int | str | bool) -> Column:
+            changes["at"] = acc["at"] + F.length(token)
             return F.struct(
                 *[
                     (F.lit(v) if not isinstance(v, Column) else v).alias(f)
@@ -192,9 +196,9 @@ def outline(clauses: Column) -> Column:
                 depth == 0,
                 F.when(
                     opens,
-                    put(depth=1, grp=acc["grp"] + 1, outline=shown, open=token, item=""),
+                    put(depth=1, grp=acc["grp"] + 1, outline=shown, open=token, item="", mark=acc["at"]),
                 )
-                .when(closes, put(depth=-1, outline=shown, done=True))
+                .when(closes, put(depth=-1, outline=shown, done=True, mark=acc["at"]))
                 .otherwise(
                     put(
                         outline=shown,
@@ -230,6 +234,7 @@ def outline(clauses: Column) -> Column:
                 F.filter(F.split(acc["items"], _RECORD), lambda record: record != ""),
                 lambda record: let(F.split(record, _FIELD, 4), _item),
             ).alias("items"),
+            acc["mark"].alias("mark"),
         ),
     )
 

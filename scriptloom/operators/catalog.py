@@ -373,6 +373,10 @@ def _place_columns() -> list[tuple[str, Column]]:
     at = (
         F.when(reason == "empty script", 0)
         .when(reason.isin("no body", "unclosed body"), body_at)
+        .when(
+            (reason == "malformed header") & (F.col("_outlined.depth") != 0),
+            F.length(F.regexp_extract("_header", headers.CREATE_NAME, 0)) + F.col("_outlined.mark"),
+        )
         .when(reason.isin(*_AFTER_HEADER), F.length("_header"))
         .when(reason == "no object name", F.length(named))
         .when(reason.isNotNull(), F.length(F.regexp_extract("_header", headers.LEADING_GAP, 0)))
@@ -394,8 +398,9 @@ def rejects(scripts: DataFrame, family: str | None = None) -> DataFrame:
 
     ``offset`` counts the characters before the place where reading stopped, ``line`` and ``column`` are
     its own from 1. The place is the sign that fits nowhere, the first sign of a body that is not closed
-    or where a body is missing, the end of the header for what is wrong in it, the end of the kind where
-    the name is missing, else the statement's first word.
+    or where a body is missing, the outermost bracket of a header that is not closed or not open, the end of
+    the header for what else is wrong in it, the end of the kind where the name is missing, else the
+    statement's first word.
     """
     checked = _staged(scripts).withColumn("reason", _reason(family))
     kept = keep_where(checked, F.col("reason").isNotNull())

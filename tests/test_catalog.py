@@ -350,6 +350,9 @@ def test_reject_places(make_scripts):
         "open_body": ("CREATE VIEW d.v\nAS\n \t(SELECT (1)", "CREATE VIEW d.v\nAS\n \t"),
         "open_quote": ("CREATE FUNCTION d.f()\nLANGUAGE js AS  r\'\'\'x", "CREATE FUNCTION d.f()\nLANGUAGE js AS  "),
         "open_block": ("CREATE PROCEDURE d.p()\n  BEGIN\nSELECT 1;", "CREATE PROCEDURE d.p()\n  "),
+        "open_args": ("CREATE FUNCTION d.f(\n x ARRAY<INT64> AS (1)", "CREATE FUNCTION d.f"),
+        "open_options": ("CREATE VIEW d.v (a)\nOPTIONS (labels=[('a', 'b')\nAS SELECT 1", "CREATE VIEW d.v (a)\nOPTIONS "),
+        "stray": ("CREATE VIEW d.v\n (a)) AS SELECT 1", "CREATE VIEW d.v\n (a)"),
         "no_body": ("CREATE VIEW d.v\n AS \n ", "CREATE VIEW d.v\n AS"),
         "empty": (" \n ", ""),
         "null": (None, ""),
