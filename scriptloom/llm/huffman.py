@@ -41,7 +41,7 @@ from scriptloom.llm.bpe import PLAIN
 from scriptloom.session import stage_table
 
 MAX_BITS = 20
-HELD_BYTES = 128 << 20  # words and chunks whose ids a worker keeps, twice; smaller tables learn more words again
+HELD_BYTES = 80 << 20  # words and chunks whose ids a worker keeps, twice; smaller tables learn more words again
 ENTRY_BYTES = 190  # what an entry takes besides its letters and ids
 LONGEST_WORD = 200
 STEP = 256
@@ -100,7 +100,8 @@ class LibraryEncoder:
             if ids is None:
                 new.append(chunk)
             else:
-                self.table[chunk] = ids
+                # a copy, so that the memory of the older table is free as a whole when it is dropped
+                self.table[chunk] = bytes(memoryview(ids))
                 self.bytes += ENTRY_BYTES + 2 * len(chunk) + len(ids)
         for start in range(0, len(new), 2000):
             some = new[start : start + 2000]
