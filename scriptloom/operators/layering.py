@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from scriptloom.functions.header import reference_id, resource_type
 from scriptloom.functions.references import METADATA_SCHEMA
 from scriptloom.functions.text import trim_edges
-from scriptloom.session import bucketed_stage, counted_stage, stage_table
+from scriptloom.session import bucket_count, bucketed_stage, counted_stage, stage_table
 
 HEAVY_MOST = 1000  # dependencies whose edges are kept apart, at most
 TRACKED = 20_000  # entries of the frequency sketch
@@ -159,7 +159,7 @@ def _keyed_nodes(nodes: DataFrame) -> DataFrame:
 
 
 def _dealt(df: DataFrame, key: str) -> DataFrame:
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    return df.repartition(bucket_count(df.sparkSession), key)
 
 
 def _managed(keys: DataFrame, edges: DataFrame, heavy_most: int = HEAVY_MOST) -> Edges:

@@ -64,6 +64,12 @@ def counted_stage(df: DataFrame, **counts) -> tuple[DataFrame, dict]:
     return stage_table(observed), seen.get
 
 
+def bucket_count(spark: SparkSession) -> int:
+    """As many as there are shuffle partitions, so that a join of buckets with a shuffle deals one side."""
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), most)
+
+
 def bucketed_stage(df: DataFrame, key: str, **counts) -> tuple[DataFrame, dict]:
     """``counted_stage`` with the rows in buckets by ``key``, as many as there are shuffle partitions.
 
@@ -71,7 +77,7 @@ def bucketed_stage(df: DataFrame, key: str, **counts) -> tuple[DataFrame, dict]:
     Rows that come partitioned by ``key`` are written as they lie, one file for each bucket.
     """
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = bucket_count(spark)
     name = f"stage_{uuid.uuid4().hex}"
     observed, seen = _observed(df, counts)
     writer = observed.write.bucketBy(buckets, key).option("path", f"{checkpoint_dir(spark)}/{name}")
