@@ -41,7 +41,7 @@ from scriptloom.llm.bpe import PLAIN
 from scriptloom.session import stage_table
 
 MAX_BITS = 20
-HELD_BYTES = 80 << 20  # words and chunks whose ids a worker keeps, twice; smaller tables learn more words again
+HELD_BYTES = 192 << 20  # words and chunks whose ids a worker keeps, twice; smaller tables learn more words again
 ENTRY_BYTES = 190  # what an entry takes besides its letters and ids
 LONGEST_WORD = 200
 STEP = 256
