@@ -5,6 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from scriptloom.functions import body as bodies
+from scriptloom.functions import header as headers
 from scriptloom.functions import values
 from scriptloom.operators import catalog as cat
 from scriptloom.operators import children
@@ -388,6 +390,50 @@ def test_wide_views_keep_all_columns_in_order(make_scripts):
     assert [tuple(c) for c in row["view_columns"]] == [(f"c{i}", f"the {i}, (col)") for i in range(3000)]
 
 
+def _outcomes(spark, found, folded, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string").coalesce(1)
+    return df.select("x", found(F.col("x")).alias("found"), folded(F.col("x")).alias("folded")).collect()
+
+
+def test_headers_without_a_fold(spark):
+    """Groups cut out by patterns are those of the fold; comments, odd leads and open brackets are folded."""
+    texts = [
+        "", " ", ";", "(a, b)", " (x INT64, y ARRAY<STRUCT<a INT, b NUMERIC(1, 2)>>, ) RETURNS  TABLE<a INT>;(z)",
+        "(a OPTIONS(d=\"k, ) of\"), `b (`)\nOPTIONS (l=[('a', 'b'), (\"c\", 'd')], m = INTERVAL 1 DAY ,, n=1, )",
+        "(a, -- b)\n c) OPTIONS /* d */ (e='f')", "RETURNS x = (a) LANGUAGE 'js' (b)", "()<>(a)", "(a))", "OPTIONS ((a)",
+        "(" * 12 + "a" + ")" * 12, "OPTIONS(a='\x01\x02e\x03')", "'open (a)", "\u3000(a\u3000,\tb)\n\n X (c - d / e)",
+    ]
+    for row in _outcomes(spark, headers.outline, headers._folded_outline, texts):
+        same = 3 if row["folded"]["depth"] == 0 else 4
+        assert row["found"][:same] == row["folded"][:same], row["x"]
+
+
+def test_bodies_without_a_fold(spark):
+    parens = ["(a)", "((a) ')' \")\" `)` -- )\n /* ) */) x)", "((a)", "(" * 12 + ")" * 12, "(\"\"\")\"\"\" - 1 / 2)(b)", "('a)"]
+    for row in _outcomes(spark, bodies.paren_length, bodies._folded_parens, parens):
+        assert row["found"] == row["folded"], row["x"]
+    blocks = [
+        "BEGIN END", "begin IF a THEN BEGIN x; END; END IF; END; y END", "BEGIN CASE WHEN a THEN 1 END; END z END",
+        "BEGIN CASE a BEGIN x; END; END CASE; END; END", "BEGIN IF a THEN x; END; END", "BEGIN END IF; END", "BEGIN x",
+        "BEGIN LOOP IF(a, 'END', 1); END  loop; REPEAT x UNTIL y END REPEAT; END", "BEGIN END IFX", "BEGIN CASE CASE END END CASE END",
+        "BEGIN " * 9 + "END " * 9 + "END", "BEGIN WHILE a DO BEGIN b; END; LOOP c; END; END WHILE; END; END",
+    ]
+    for row in _outcomes(spark, bodies.block_length, bodies._folded_block, blocks):
+        assert row["found"] == row["folded"], row["x"]
+
+
+def test_plain_headers_and_bodies_fit_the_patterns(spark):
+    """Where the patterns stopped short, all work would fall back on the folds."""
+    parts = {
+        headers._TOP: ["(\n  A OPTIONS(description=\"The first, of two\"),\n) OPTIONS(\n  labels=[('a', 'b')]\n) ", "(a ARRAY<STRUCT<b INT64>>) RETURNS INT64"],
+        bodies._PAREN_GROUP: ["((SELECT ')' AS a))"],
+        bodies._BLOCK_GROUP: ["BEGIN IF a THEN LOOP BREAK; END LOOP; END IF; SET x = CASE WHEN a THEN 1 END; END"],
+    }
+    for pattern, texts in parts.items():
+        df = spark.createDataFrame([(t,) for t in texts], "x string")
+        assert [r[0] for r in df.select(F.regexp_extract("x", pattern, 0)).collect()] == texts
+
+
 def test_families(make_scripts):
     scripts = make_scripts({"view": VIEW, "tf": TABLE_FUNCTION})
     assert [r["script_id"] for r in cat.catalog(scripts, cat.VIEW).collect()] == ["view"]
