@@ -450,3 +450,15 @@ def test_filters_on_the_catalog_stay_above_it(make_scripts):
     assert plan.lstrip().startswith("Filter")
     assert plan.count("Filter") == 1
     assert [r["script_id"] for r in kept.collect()] == ["view"]
+
+
+def test_one_pass_computes_only_what_is_used(make_scripts):
+    scripts = make_scripts({"f": "CREATE FUNCTION d.f(x INT64) RETURNS INT64 AS (x);"})
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    checked = cat.checked_rows(scripts)
+    assert "typeKind" in plan(checked)
+    assert "typeKind" not in plan(checked.select("script_id", "reason", "kind", "body"))
+    assert checked.columns == [*cat.REJECT_COLUMNS, *cat.catalog_rows(scripts).columns[1:]]
