@@ -210,3 +210,38 @@ def test_rewriting(make_scripts, project):
     scripts = make_scripts({k: sql for k, (sql, _, _) in cases.items()})
     got = {r["script_id"]: r["body"] for r in ops.qualify(catalog(scripts), project).collect()}
     assert got == {k: body for k, (_, _, body) in cases.items()}
+
+
+QUIET = (
+    "SELECT", "a.b", "`c.d`", "`e`", "x", ",", " ,", "'FROM f.g('", "max(z)", "count(DISTINCT a.b, 1)", "= 1", "AS", "h.INFORMATION_SCHEMA.i",
+    ";", "ORDER BY", "k .", "-- FROM l.m(\n", "/* ) */", "(", ")", "()", "f(", "n.o.p.q.r", "ON", "WITH", "UNNEST",
+)
+LOUD = (
+    "FROM s.t", "FROM s.t AS where, u.v", "JOIN s.t with, u.v", "FROM s.t unnest x, u.v", "s.t(1)", "EXTRACT(DAY FROM s.t)", "CALL s.t",
+    "FROM s.t AS on\n, u.v", "FROM s.t x s.w.y(", "`s.t`(", "INTO s.t", "USING s.t", "EXTRACT WHERE (", "FROM", "update", "FROM s.t AS `a(`, u.v",
+)
+
+
+def test_stretches_without_names_change_no_name(spark):
+    """Behind parens, semicolons and closing words, what holds no name is passed over."""
+    rng = random.Random(13)
+    bodies = [
+        rng.choice(("", " ", "\n")).join(rng.choice(QUIET if rng.random() < 0.7 else LOUD) for _ in range(rng.randint(2, 25)))
+        for _ in range(800)
+    ]
+    df = spark.createDataFrame([(b,) for b in bodies], "body string").repartition(4)
+    found = df.select(
+        "body", *[refs.kept_names(tokens(F.col("body"))).alias(tokens.__name__) for tokens in (refs.body_tokens, refs.name_tokens)]
+    )
+    same = [F.transform(c, lambda n: F.struct(n["token"], n["role"], n["joined"])) for c in found.columns[1:]]
+    assert found.filter(F.size("body_tokens") > 2).count() > 100
+    assert found.filter(same[0] != same[1]).select("body").collect() == []
+    again = df.select("body", F.array_join(refs.name_pieces(F.col("body")), "").alias("again"))
+    assert again.filter("body != again").count() == 0
+
+
+def test_few_tokens_are_left_of_a_plain_query(spark):
+    body = "SELECT a.x, max(z), 'q' AS y FROM ds.v WHERE a.x = b.x AND c IN (1, 2) ORDER BY a.x; SELECT count(*) FROM ds.w"
+    df = spark.createDataFrame([(body,)], "body string").select(refs.name_tokens(F.col("body")).alias("tokens"))
+    assert [t for t in df.first()["tokens"] if t][:2] == ["FROM", "ds.v"]
+    assert len([t for t in df.first()["tokens"] if t]) <= 6
