@@ -35,7 +35,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
 from scriptloom.llm.bpe import PLAIN
 from scriptloom.session import stage_table
@@ -44,6 +44,10 @@ MAX_BITS = 20
 HELD_BYTES = 80 << 20  # words and chunks whose ids a worker keeps, twice; smaller tables learn more words again
 ENTRY_BYTES = 190  # what an entry takes besides its letters and ids
 LONGEST_WORD = 200
+# Steps of a normalizer that leave plain words as they are, once in lower case and a blank apart.
+NO_CHANGE = (
+    {"type": "NFC"}, {"type": "Lowercase"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+)
 STEP = 256
 BLOCK_IDS = 1 << 17  # a block is closed by the document that reaches this many ids
 BLOCKS = (
@@ -58,17 +62,17 @@ BLOCKS = (
 class LibraryEncoder:
     """Ids of texts by the tokenizers library.
 
-    In a vocabulary with word ends the words of a text do not affect each other. The library is
-    given each different word of plain texts once, many in one text, and its result is cut behind
-    the ids that end a word. Every other text, and every text with a very long word, is given to it
-    as a whole.
+    In a vocabulary with word ends the words of a text do not affect each other. What white space parts
+    in plain texts is cut into words; the library is given each different one once, many in one text, and
+    its result is cut behind the ids that end a word. Every other text, and every text with a very long
+    word, is given to it as a whole.
 
     Words that were met lately are kept in two tables of ``HELD_BYTES`` each: a full one becomes the
     older one, and what is found there moves back to the newer one.
     """
 
     def __init__(self, path: str, kind: str = "<u4", held_bytes: int = HELD_BYTES):
-        self.library = Tokenizer.from_file(path)
+        self.library = self.word_library = Tokenizer.from_file(path)
         self.kind = np.dtype(kind)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -81,18 +85,23 @@ class LibraryEncoder:
             self.ends = np.array(
                 [(self.library.id_to_token(i) or "").endswith(suffix) for i in range(size)]
             )
+            steps = spec.get("normalizer") or {}
+            if all(step in NO_CHANGE for step in steps.get("normalizers", [steps])):
+                self.word_library = Tokenizer.from_file(path)
+                self.word_library.normalizer = normalizers.Sequence([])
         self.held_bytes, self.bytes = held_bytes, 0
         self.table: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
+    def _ids(self, texts: list[str], library: Tokenizer) -> list[np.ndarray]:
+        coded = library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.kind) for e in coded]
 
     def _learn(self, chunks: list[str]) -> bool:
-        """Put the ids of chunks into the table; many go to the library in one text.
+        """Put the ids of chunks into the table, and those of the words they consist of.
 
-        False if its result cannot be cut between the chunks: then only whole texts are right.
+        Only words that are not in it go to the library, many in one text. False if its result cannot be
+        cut between them: then only whole texts are right.
         """
         new = []
         for chunk in chunks:
@@ -105,17 +114,32 @@ class LibraryEncoder:
                 self.bytes += ENTRY_BYTES + 2 * len(chunk) + len(ids)
         for start in range(0, len(new), 2000):
             some = new[start : start + 2000]
-            joined = " ".join(some)
-            words = np.cumsum(np.fromiter(map(len, self.words.findall(joined)), dtype=np.int64))
+            words = self.words.findall(" ".join(some))
+            ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64))
             behind = np.cumsum(np.fromiter(map(len, some), dtype=np.int64))
-            ids = self._ids([joined])[0]
-            word_ends = np.flatnonzero(self.ends[ids]) + 1
-            last = np.searchsorted(words, behind)  # each chunk's last word
-            if len(word_ends) != len(words) or last[-1] >= len(words) or (words[last] != behind).any():
+            last = np.searchsorted(ends, behind)  # each chunk's last word
+            if last[-1] >= len(words) or (ends[last] != behind).any() or not self._learn_words(words):
                 return False
-            raw, cuts = ids.tobytes(), (word_ends[last] * self.kind.itemsize).tolist()
-            self.table.update(zip(some, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
-            self.bytes += ENTRY_BYTES * len(some) + 2 * len(joined) + len(raw)
+            ids_of, first = self.table, 0
+            for chunk, after in zip(some, (last + 1).tolist()):
+                if after > first + 1:
+                    ids = b"".join([ids_of[w] for w in words[first:after]])
+                    ids_of[chunk] = ids
+                    self.bytes += ENTRY_BYTES + 2 * len(chunk) + len(ids)
+                first = after
+        return True
+
+    def _learn_words(self, words: list[str]) -> bool:
+        new = list(set(words).difference(self.table))
+        if not new:
+            return True
+        ids = self._ids([" ".join(new)], self.word_library)[0]
+        word_ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(word_ends) != len(new):
+            return False
+        raw, cuts = ids.tobytes(), (word_ends * self.kind.itemsize).tolist()
+        self.table.update(zip(new, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
+        self.bytes += ENTRY_BYTES * len(new) + 2 * sum(map(len, new)) + len(raw)
         return True
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -130,23 +154,26 @@ class LibraryEncoder:
             if self.by_word and "<|" not in text and PLAIN.fullmatch(text):
                 words = text.lower().split()
                 found = list(map(look_up, words))
-                if None not in found:
+                gaps = [k for k, ids in enumerate(found) if ids is None]
+                if not gaps:
                     out[i] = b"".join(found)
                     continue
-                missing = {w for w, ids in zip(words, found) if ids is None}
+                missing = [words[k] for k in gaps]
                 if max(map(len, missing)) <= LONGEST_WORD:
-                    new |= missing
-                    open_texts.append((i, words, found))
+                    new.update(missing)
+                    open_texts.append((i, found, gaps, missing))
                     continue
             rest.append(i)
         if new and not self._learn(list(new)):
-            rest += [i for i, _, _ in open_texts]
+            rest += [i for i, *_ in open_texts]
             open_texts = []
         table = self.table
-        for i, words, found in open_texts:
-            out[i] = b"".join([table[w] if ids is None else ids for w, ids in zip(words, found)])
+        for i, found, gaps, missing in open_texts:
+            for k, word in zip(gaps, missing):
+                found[k] = table[word]
+            out[i] = b"".join(found)
         if rest:
-            for i, ids in zip(rest, self._ids([texts[i] for i in rest])):
+            for i, ids in zip(rest, self._ids([texts[i] for i in rest], self.library)):
                 out[i] = ids.tobytes()
         return out
 

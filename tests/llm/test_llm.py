@@ -104,6 +104,19 @@ def test_token_tables_are_bounded_and_give_the_library_ids(library, monkeypatch)
     assert encoder.encode(part) == [packed(library_ids(library, t)) for t in part]
 
 
+def test_words_between_signs_are_learnt_once(library):
+    encoder = huffman.LibraryEncoder(PATH)
+    part = ["Unheard, unheard. (unheard) unheard!", "unheard's don'test ''s ('s x'd x' 'll 12a3", "É ñ-unheard's\u00a0b\t\nc"]
+    given = []
+    ids = encoder._ids
+    encoder._ids = lambda texts, *more: given.extend(texts) or ids(texts, *more)
+    assert encoder.encode(part) == [packed(library_ids(library, t)) for t in part]
+    assert " ".join(given).split().count("unheard") == 1 and "unheard," not in " ".join(given).split()
+    given.clear()
+    assert encoder.encode(["unheard"] + part) == [packed(library_ids(library, t)) for t in ["unheard"] + part]
+    assert not given
+
+
 def test_token_files_read_back(spark, docs, empty, library, tmp_path):
     folder = str(tmp_path / "files")
     huffman.write_ids(docs, folder, PATH, end_id=2)
