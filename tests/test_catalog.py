@@ -462,3 +462,19 @@ def test_one_pass_computes_only_what_is_used(make_scripts):
     assert "typeKind" in plan(checked)
     assert "typeKind" not in plan(checked.select("script_id", "reason", "kind", "body"))
     assert checked.columns == [*cat.REJECT_COLUMNS, *cat.catalog_rows(scripts).columns[1:]]
+
+
+def test_scripts_of_the_other_family_are_dropped_before_their_header_is_worked_on(spark):
+    sqls = [
+        None, "", "SELECT 1", "CREATE VIEW d.v AS SELECT 1", "CREATE VIEW d.v OPTIONS( AS SELECT 1", "CREATE TEMP FUNCTION d.f() AS (1)",
+        "CREATE FUNCTION d.f(x INT64) AS (x)", "CREATE FUNCTION d.f(x INT64) AS (x", "CREATE TABLE d.t", "CREATE VIEW d.v 'open",
+        "CREATE MATERIALIZED VIEW d.m CLUSTER BY a AS SELECT 1 a", "CREATE PROCEDURE d.p() BEGIN SELECT 1; END", "CREATE FUNCTION",
+    ]
+    scripts = spark.createDataFrame([(str(i), sql) for i, sql in enumerate(sqls)], "script_id string, sql string")
+    for family, kept in ((cat.VIEW, {"3", "10"}), (cat.ROUTINE, {"6", "11"}), (None, {"3", "6", "10", "11"})):
+        rows = cat.catalog_rows(scripts, family)
+        assert {r["script_id"] for r in rows.select("script_id").collect()} == kept
+        left_out = {r["script_id"] for r in cat.rejects(scripts, family).collect()}
+        assert left_out == {str(i) for i in range(len(sqls))} - kept
+        plan = rows.select("script_id", "arguments")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.rindex("Generate explode") > plan.rindex("AS _outlined")
