@@ -478,3 +478,14 @@ def test_scripts_of_the_other_family_are_dropped_before_their_header_is_worked_o
         assert left_out == {str(i) for i in range(len(sqls))} - kept
         plan = rows.select("script_id", "arguments")._jdf.queryExecution().optimizedPlan().toString()
         assert plan.rindex("Generate explode") > plan.rindex("AS _outlined")
+
+
+def test_steps_of_the_outline_are_columns_worked_out_once(spark):
+    clauses = ["", "()", "(a)(b)", "(a, (b)) OPTIONS(x=[1, 2])", "x\x01 OPTIONS(a=1)", " PARTITION BY f(c) ;(", "(a", "-- (\n(a)"]
+    scripts = spark.createDataFrame([(str(i), f"CREATE VIEW d.v{c} AS SELECT 1") for i, c in enumerate(clauses)], "script_id string, sql string")
+    outlined = cat._staged(scripts).select("script_id", "_outlined")
+    plan = outlined._jdf.queryExecution().optimizedPlan().toString()
+    assert all(plan.count(f"AS {step}#") == 1 for step in ("_top", "_pieces", "_groups", "_outlined"))
+    found = {clauses[int(r["script_id"])]: r["_outlined"] for r in outlined.collect()}
+    assert [found[c]["depth"] for c in clauses] == [0, 0, 0, 0, 0, 0, 1, 0]
+    assert [[i["text"] for i in found[c]["items"]] for c in clauses[1:4]] == [[], ["a", "b"], ["a", "(b)", "x=[1, 2]"]]
