@@ -89,6 +89,22 @@ def test_hot_dependency_and_its_plan(spark):
         assert {r["object_id"]: r["layer"] for r in got} == depth
 
 
+def test_a_round_holds_only_what_was_told(spark):
+    """Nodes that no settled node spoke to are read, not written again; what was heard is carried on."""
+    f = "VIEW"
+    objects = [("d", f"n{i}", f, [("d", f"n{i // 2}", f), ("d", f"n{i // 3}", f)] if i else []) for i in range(400)]
+    keyed = layering._keyed_nodes(graph(spark, *objects)[0])
+    managed = layering._managed(keyed.select("key"), graph(spark, *objects)[1])
+    state, waiting = layering._first_state(keyed, managed)
+    assert waiting == 399
+    first = layering._round(state, managed, None, None, 1, waiting)
+    assert sorted((r["key"], r["left"], r["layer"]) for r in first.collect()) == [
+        ("d\0n1", 0, 2), ("d\0n2", 1, 2)]
+    second = layering._round(state, managed, None, first, 1, waiting - 1)
+    assert sorted((r["key"], r["left"], r["layer"]) for r in second.collect()) == [
+        ("d\0n2", 0, 3), ("d\0n3", 0, 3), ("d\0n4", 1, 3), ("d\0n5", 1, 3)]
+
+
 def brute_layers(objects):
     known = {(d, o) for d, o, _, _ in objects}
     needs = {(d, o): {r[:2] for r in refs if r[:2] in known and r[:2] != (d, o)} for d, o, _, refs in objects}
